@@ -136,7 +136,7 @@ def unwrap_envelope(lines: DataFrame, line: str, data: T.StructType, field: str
     )
 
 
-def read_enveloped_products(spark: SparkSession, path: str, glob: str = "*.jsonl*") -> DataFrame:
+def read_enveloped_products(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
     """Crawl output files to product rows (N6 over files)."""
     lines = spark.read.option("pathGlobFilter", glob).text(path)
     return unwrap_envelope(lines, "value", schemas.PRODUCTS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import keys, text
-from ..functions.audit import UPDATED, with_audit
+from ..functions.audit import UPDATED, with_audit, without_audit  # noqa: F401
 from ..functions.urls import last_segment_tail, top_level_domain
 from ..operators.distincts import with_default_member
 from ..operators.intervals import (

@@ -8,32 +8,39 @@ from .. import schemas
 
 
 def read_json_lines(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = "*.jsonl*"
+    spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = "*.jsonl"
 ) -> DataFrame:
-    """Newline JSON under a folder; files with another name are ignored."""
+    """Newline JSON under a folder; files with another name are ignored.
+
+    Files written by Spark itself end in ``.json``: read them with ``glob="*.json"``.
+    """
     return spark.read.schema(schema).option("pathGlobFilter", glob).json(path)
 
 
-def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_events(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl") -> DataFrame:
     """Normalised event log, 34 columns."""
-    return read_json_lines(spark, path, schemas.EVENTS)
+    return read_json_lines(spark, path, schemas.EVENTS, glob)
 
 
-def read_raw_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_raw_events(
+    spark: SparkSession, path: str | list[str], glob: str = "*.jsonl"
+) -> DataFrame:
     """Event log before normalisation: polymorphic fields stay JSON text.
 
     Feed it to :func:`facetmill.operators.normalize.normalize_events`.
     """
-    return read_json_lines(spark, path, schemas.RAW_EVENTS)
+    return read_json_lines(spark, path, schemas.RAW_EVENTS, glob)
 
 
-def read_products(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_products(
+    spark: SparkSession, path: str | list[str], glob: str = "*.jsonl"
+) -> DataFrame:
     """Product attributes, 27 columns.
 
     The required key is checked by ``operators.quality.not_null``; a JSON
     reader cannot enforce it.
     """
-    return read_json_lines(spark, path, schemas.PRODUCTS)
+    return read_json_lines(spark, path, schemas.PRODUCTS, glob)
 
 
 def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
