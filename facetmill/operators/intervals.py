@@ -39,14 +39,16 @@ def change_intervals(
     across = Window.partitionBy(key).orderBy("_slice")
 
     known = F.col(state).isNotNull()
-    rows = (
-        rows.withColumn("_known", F.last(state, ignorenulls=True).over(inside.rowsBetween(*BEFORE_HERE)))
-        .withColumn("_nth", F.row_number().over(inside))
-        .withColumn("_opens", known & F.col("_known").isNull())
-        .withColumn(
-            "_changed",
-            F.coalesce(known & (F.col(state) != F.col("_known")), F.lit(False)).cast("int"),
-        )
+    last_before = F.last(state, ignorenulls=True).over(inside.rowsBetween(*BEFORE_HERE))
+    rows = rows.withColumns(
+        {"_known": last_before, "_nth": F.row_number().over(inside)}
+    ).withColumns(
+        {
+            "_opens": known & F.col("_known").isNull(),
+            "_changed": F.coalesce(
+                known & (F.col(state) != F.col("_known")), F.lit(False)
+            ).cast("int"),
+        }
     )
     opening = F.when(F.col("_opens"), F.struct(F.col(state).alias("state"), F.col("_nth").alias("nth")))
     # (time, utc) ranks the known rows; on a tie the greater state comes last, as above.

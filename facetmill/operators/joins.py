@@ -28,6 +28,7 @@ def spread_left_join(
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a large table with unique keys, hot keys spread over ``salts`` tasks.
 
@@ -35,8 +36,16 @@ def spread_left_join(
     rows with a NULL key take a salt from a hash of ``spread_by``, so that a
     re-run task gives the same rows. No row is dropped and, as keys are unique
     on the right, none is doubled.
+
+    Keys are counted in ``counted`` (default: ``left``). Give the written table
+    that ``left`` was derived from, so that counting reads one column instead
+    of computing ``left`` a second time. The list of hot keys is broadcast; it
+    has at most ``rows / hot_rows`` entries.
     """
-    hot = hot_keys(left.select(*on).dropna(), on, hot_rows).withColumn("_hot", F.lit(True))
+    hot = F.broadcast(
+        hot_keys((left if counted is None else counted).select(*on).dropna(), on, hot_rows)
+        .withColumn("_hot", F.lit(True))
+    )
     null_key = F.lit(False)
     for k in on:
         null_key = null_key | F.col(k).isNull()
@@ -69,6 +78,7 @@ def lookup_join(
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a table with unique keys.
 
@@ -78,7 +88,7 @@ def lookup_join(
     """
     if fits_broadcast(right, max_rows):
         return left.join(F.broadcast(right), list(on), "left")
-    return spread_left_join(left, right, on, spread_by, hot_rows, salts)
+    return spread_left_join(left, right, on, spread_by, hot_rows, salts, counted)
 
 
 def resume_targets(targets: DataFrame, finished: DataFrame, failed: DataFrame, key: str) -> DataFrame:

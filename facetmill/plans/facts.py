@@ -103,10 +103,15 @@ def sales_rows(
     """Sales lines with resolved keys and converted amounts.
 
     The dimension arguments should be materialised tables: each lookup
-    measures its side and is broadcast only if small, see ``lookup_join``.
-    The store is looked up once, for its key and for its currency.
+    measures its side and is broadcast only if small, see ``lookup_join``. So
+    should ``sales``: hot keys are counted in it. The version lookup comes
+    first, while the rows are narrow. The store is looked up once, for its key
+    and for its currency.
     """
     spread = ["order_id", "product_id", "local_datetime"]
+    lines = version_at(
+        summed_lines(sales), scd_dim, "user_id_db", "local_datetime", ["scd_customer_key"]
+    )
     country_money = countries.select(
         F.col("country_code_iso2").alias("country_code"),
         F.col("currency_code").alias("country_currency"),
@@ -114,19 +119,17 @@ def sales_rows(
     stores = store_dim.select("store_id", "store_key", "country_code").join(
         country_money, "country_code", "left"
     ).drop("country_code")
-    lines = lookup_join(summed_lines(sales), stores, ["store_id"], spread)
+    for table, key in (
+        (stores, "store_id"),
+        (product_dim.select("product_id", "product_key"), "product_id"),
+        (ip_map.select("ip_address", "location_key"), "ip_address"),
+        (current_dim.select("user_id_db", "customer_key"), "user_id_db"),
+    ):
+        lines = lookup_join(lines, table, [key], spread, counted=sales)
     lines = convert_lines(lines, daily, spread)
-    lines = lookup_join(
-        lines, product_dim.select("product_id", "product_key"), ["product_id"], spread
-    )
     lines = lookup_join(
         lines, currency_dim.select("currency_code", "currency_key"), ["currency_code"], spread
     )
-    lines = lookup_join(lines, ip_map.select("ip_address", "location_key"), ["ip_address"], spread)
-    lines = lookup_join(
-        lines, current_dim.select("user_id_db", "customer_key"), ["user_id_db"], spread
-    )
-    lines = version_at(lines, scd_dim, "user_id_db", "local_datetime", ["scd_customer_key"])
     foreign = [
         "scd_customer_key", "customer_key", "location_key", "store_key", "product_key",
         "currency_key",

@@ -83,8 +83,9 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
 
 
 def build_mart(src: Sources) -> dict[str, DataFrame]:
-    """Core tables plus the flat report table."""
+    """Core tables plus the flat report table. The fact is written first."""
     t = build_core(src)
+    t["fact_sales_order_detail"] = materialize(t["fact_sales_order_detail"], "fact_sales_order_detail")
     t["mart_sales_report"] = mart.mart_sales_report(
         t["fact_sales_order_detail"], t["dim_date"], t["dim_product"], t["dim_store"],
         t["dim_location"], t["dim_customer_scd"], t["dim_currency"],

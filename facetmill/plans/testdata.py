@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.dates import date_key
 from ..functions.urls import StoreUrlRules
 from ..operators.joins import ipv4_text, locate_addresses
+from ..session import materialize
 from .pipeline import Sources
 from .staging import CHECKOUT
 
@@ -81,13 +82,14 @@ def page_url() -> Column:
 
 
 def visits(spark: SparkSession, folder: str) -> DataFrame:
-    """One page view per order."""
-    return orders_with_buyers(spark, folder).select(
+    """One page view per order, landed as a table like a raw event log."""
+    rows = orders_with_buyers(spark, folder).select(
         F.col("o_orderkey").cast("string").alias("_id"),
         "time_stamp", "ip", "user_id_db", "store_id", "local_time", "email_address",
         F.lit("view_product_detail").alias("collection"),
         page_url().alias("current_url"),
     )
+    return materialize(rows, "visits")
 
 
 def price_as_written(value: Column, key: Column) -> Column:

@@ -15,8 +15,12 @@ def build_session(app: str = "facetmill", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Parquet unfolds to several times its file size; join choices should know.
+        .config("spark.sql.sources.fileCompressionFactor", "4.0")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
+        # Call sites are captured per column expression otherwise, which slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

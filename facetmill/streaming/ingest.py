@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import utc_from_epoch
@@ -34,16 +34,25 @@ def append_stream(stream: DataFrame, table: str, checkpoint: str) -> StreamingQu
 
 
 def suppress_copies(
-    stream: DataFrame, key: Sequence[str], epoch: str = "time_stamp", delay: str = "7 days"
+    stream: DataFrame,
+    key: Sequence[str],
+    epoch: str = "time_stamp",
+    delay: str = "7 days",
+    salts: int = 16,
 ) -> DataFrame:
     """Drop re-delivered events that arrive within ``delay`` of the first copy.
 
-    State is keyed by ``key`` and forgotten once the watermark has passed, so
-    it does not grow with the stream.
+    Two passes: the first removes copies within each of ``salts`` random
+    shares, so that one event with very many copies is worked off by several
+    tasks; at most ``salts`` copies reach the second pass. State is forgotten
+    once the watermark has passed, so it does not grow with the stream.
     """
     return (
         stream.withColumn("utc_timestamp", utc_from_epoch(epoch))
         .withWatermark("utc_timestamp", delay)
+        .withColumn("_salt", F.floor(F.rand() * salts).cast("int"))
+        .dropDuplicatesWithinWatermark([*key, "_salt"])
+        .drop("_salt")
         .dropDuplicatesWithinWatermark(list(key))
     )
 
