@@ -66,8 +66,12 @@ def spread_left_join(
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    A plain count: on a written table it reads file footers, in any case it is
+    summed per task.
+    """
+    return df.count() <= max_rows
 
 
 def lookup_join(

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import hour_slice
+from ..session import materialize
 
 BEFORE_HERE = (Window.unboundedPreceding, -1)
 UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
@@ -113,23 +114,42 @@ def latest_at(
 
     # ``_rank`` is NULL on left rows only; ``_side`` puts a start before the rows at that time.
     probes = left.where(matchable).select(
-        *[F.col(c).alias(c) for c in left_cols],
+        *left_cols,
         F.col(left_at).alias("_at"),
         F.lit(1).alias("_side"),
+        slice_of(left_at).alias("_slice"),
     )
     starts = right.where(usable).select(
         *keys,
         F.col(right_at).alias("_at"),
         F.lit(0).alias("_side"),
+        slice_of(right_at).alias("_slice"),
         F.struct(F.lit(0).alias("_"), *ties).alias("_rank"),
         F.struct(*carry).alias("_payload"),
     )
-    merged = probes.unionByName(starts, allowMissingColumns=True)
-    filled = fill_forward(
-        merged, keys, ["_at", "_side", "_rank"], "_payload", "_found", slice_of("_at")
+    # One row per slice of either side: where something is wanted, what a slice ends with.
+    wanted = probes.select(*keys, "_slice").distinct().withColumn("_wanted", F.lit(True))
+    closing = starts.groupBy(*keys, "_slice").agg(
+        F.max_by("_payload", F.struct("_at", "_rank")).alias("_closing")
     )
-    matched = filled.where(F.col("_side") == 1).select(
-        *left_cols, *[F.col(f"_found.{c}").alias(c) for c in carry]
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+    )
+    carried = (
+        wanted.unionByName(closing, allowMissingColumns=True)
+        .withColumn("_carried", F.last("_closing", ignorenulls=True).over(earlier))
+        .where("_wanted")
+        .select(*keys, "_slice", "_carried")
+    )
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_at", "_side", "_rank")
+    here = F.last("_payload", ignorenulls=True).over(inside.rowsBetween(*UP_TO_HERE))
+    matched = (
+        probes.unionByName(starts, allowMissingColumns=True)
+        # slices of the right side in which nothing is wanted end here
+        .join(carried, [*keys, "_slice"])
+        .withColumn("_found", F.coalesce(here, "_carried"))
+        .where("_side = 1")
+        .select(*left_cols, *[F.col(f"_found.{c}").alias(c) for c in carry])
     )
     carry_types = right.select(*carry).schema
     unmatched = left.where(~F.coalesce(matchable, F.lit(False))).select(
@@ -141,15 +161,12 @@ def latest_at(
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_num") -> DataFrame:
     """Position of every row in one global order, from 1.
 
-    Rows are range-partitioned on the order columns and check-pointed, so that
+    Rows are range-partitioned on the order columns and written once, so that
     the partition number is fixed even when an executor is lost. Each partition
     is numbered by itself and shifted by the row count of those before it.
     """
-    from ..session import shared_folder
-
-    shared_folder(df.sparkSession)
-    ranged = (
-        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    ranged = materialize(
+        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged"
     )
     shift = (
         ranged.groupBy("_part")

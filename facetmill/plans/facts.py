@@ -90,7 +90,7 @@ def line_key() -> Column:
 
 
 def sales_rows(
-    sales: DataFrame,
+    folded: DataFrame,
     store_dim: DataFrame,
     countries: DataFrame,
     daily: DataFrame,
@@ -104,14 +104,16 @@ def sales_rows(
 
     The dimension arguments should be materialised tables: each lookup
     measures its side and is broadcast only if small, see ``lookup_join``. So
-    should ``sales``: hot keys are counted in it. The version lookup comes
-    first, while the rows are narrow. The store is looked up once, for its key
+    should ``folded``, the result of ``summed_lines``: hot keys are counted in
+    it. The version lookup comes first, while the rows are narrow. The store is looked up once, for its key
     and for its currency.
     """
     spread = ["order_id", "product_id", "local_datetime"]
     lines = version_at(
-        summed_lines(sales), scd_dim, "user_id_db", "local_datetime", ["scd_customer_key"]
+        folded, scd_dim, "user_id_db", "local_datetime", ["scd_customer_key"]
     )
+    # an address loaded twice must not double sales; a known place wins over -1
+    places = ip_map.groupBy("ip_address").agg(F.max("location_key").alias("location_key"))
     country_money = countries.select(
         F.col("country_code_iso2").alias("country_code"),
         F.col("currency_code").alias("country_currency"),
@@ -122,10 +124,10 @@ def sales_rows(
     for table, key in (
         (stores, "store_id"),
         (product_dim.select("product_id", "product_key"), "product_id"),
-        (ip_map.select("ip_address", "location_key"), "ip_address"),
+        (places, "ip_address"),
         (current_dim.select("user_id_db", "customer_key"), "user_id_db"),
     ):
-        lines = lookup_join(lines, table, [key], spread, counted=sales)
+        lines = lookup_join(lines, table, [key], spread, counted=folded)
     lines = convert_lines(lines, daily, spread)
     lines = lookup_join(
         lines, currency_dim.select("currency_code", "currency_key"), ["currency_code"], spread

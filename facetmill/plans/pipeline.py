@@ -65,10 +65,11 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
         "fact_snapshot_exchange_rate",
         facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], src.rates),
     )
+    table("order_lines", facts.summed_lines(t["stg_sales_order_detail"]))
     known_versions = t["dim_customer_scd"].where(F.col("scd_customer_key") != -1)
     t["fact_sales_order_detail"] = facts.fact_sales_order_detail(
         facts.sales_rows(
-            t["stg_sales_order_detail"],
+            t["order_lines"],
             t["dim_store"],
             src.countries,
             facts.daily_rates(t["fact_snapshot_exchange_rate"], t["dim_currency"]),

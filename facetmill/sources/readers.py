@@ -72,4 +72,4 @@ def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     ``end`` is a parameter, so that a run can be repeated on another day.
     """
     days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))
-    return spark.range(1).select(F.explode(days).alias("full_date"))
+    return spark.range(0, 1, 1, 1).select(F.explode(days).alias("full_date"))

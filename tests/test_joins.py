@@ -81,3 +81,10 @@ def test_representatives_and_samples(spark, rows):
 def test_blank_keys_are_no_addresses(spark, rows):
     df = spark.createDataFrame([("a",), ("a",), ("",), (None,)], "ip string")
     assert rows(distincts.distinct_non_blank(df, "ip")) == [("a",)]
+
+
+def test_sample_of_a_large_table_equals_the_full_ranking(spark, rows):
+    many = spark.range(50_000).withColumnRenamed("id", "k")
+    rank = F.md5(F.concat_ws("|", F.lit("4"), F.col("k").cast("string")))
+    assert rows(distincts.sample_rows(many, 40, ["k"], seed=4)) == rows(many.orderBy(rank, "k").limit(40))
+    assert distincts.sample_rows(many.limit(30), 40, ["k"]).count() == 30
