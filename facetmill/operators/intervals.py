@@ -8,7 +8,7 @@ from ..functions.audit import with_audit
 from ..functions.dates import OPEN_END, OPEN_START, hour_slice, open_end
 from ..functions.keys import UNKNOWN_KEY, surrogate_key
 from .distincts import with_default_member
-from .scans import BEFORE_HERE, latest_at, next_value
+from .scans import BEFORE_HERE, latest_at, next_value, whole_slice
 
 
 def change_intervals(
@@ -31,7 +31,7 @@ def change_intervals(
         events.where(F.col(key).isNotNull() & F.col(at).isNotNull())
         .groupBy(key, at, state)
         .agg(F.min(utc).alias("_utc"))
-        .withColumn("_slice", hour_slice(at))
+        .withColumn("_slice", whole_slice(hour_slice(at)))
     )
     order = [F.col(at), F.col("_utc"), F.col(state).asc_nulls_first()]
     inside = Window.partitionBy(key, "_slice").orderBy(*order)

@@ -24,8 +24,17 @@ BEFORE_HERE = (Window.unboundedPreceding, -1)
 UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 
+def whole_slice(slice_by: Column) -> Column:
+    """The slice, never NULL: rows without an order value come first, as in the order itself.
+
+    Being free of NULLs, a join on it adds no filter to one side only, and both
+    sides can share one shuffle.
+    """
+    return F.coalesce(slice_by, F.lit(-(2**31)))
+
+
 def _rows_and_windows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slice_by: Column):
-    rows = df.withColumn("_slice", slice_by)
+    rows = df.withColumn("_slice", whole_slice(slice_by))
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     across = Window.partitionBy(*keys).orderBy("_slice") if keys else Window.orderBy("_slice")
     return rows, inside, across
@@ -117,13 +126,13 @@ def latest_at(
         *left_cols,
         F.col(left_at).alias("_at"),
         F.lit(1).alias("_side"),
-        slice_of(left_at).alias("_slice"),
+        whole_slice(slice_of(left_at)).alias("_slice"),
     )
     starts = right.where(usable).select(
         *keys,
         F.col(right_at).alias("_at"),
         F.lit(0).alias("_side"),
-        slice_of(right_at).alias("_slice"),
+        whole_slice(slice_of(right_at)).alias("_slice"),
         F.struct(F.lit(0).alias("_"), *ties).alias("_rank"),
         F.struct(*carry).alias("_payload"),
     )

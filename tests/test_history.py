@@ -179,3 +179,24 @@ def test_no_window_is_partitioned_by_the_user_over_events(spark):
     for line in plan.splitlines():
         if "Window [" in line and "_slice" not in line:
             raise AssertionError(line)
+
+
+def test_rows_without_a_time_come_first_and_are_kept(spark, rows):
+    df = spark.createDataFrame(
+        [("k", 1, None, 5), ("k", 2, at(3), None), ("k", 3, at(500), None)], "k string, id int, t timestamp_ntz, v int"
+    )
+    got = scans.fill_forward(df, ["k"], ["t", "id"], "v", "f").select("id", "f")
+    assert rows(got) == [(1, 5), (2, 5), (3, 5)]
+
+
+def test_interval_builder_shuffles_the_events_once(spark):
+    """Both branches of the builder share the exchange over the events."""
+    seen = spark.createDataFrame(history(), "user_id_db string, email_address string, t timestamp_ntz, utc timestamp_ntz")
+    runs = intervals.change_intervals(seen, "user_id_db", "email_address", "t", "utc")
+    runs.collect()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = intervals.change_intervals(seen, "user_id_db", "email_address", "t", "utc")
+        assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
