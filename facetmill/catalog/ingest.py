@@ -79,7 +79,7 @@ def append_and_replace(spark, folder):
     """Replace the table, then append the same load once."""
     path = new_folder(spark, "appended")
     orders = td.table(spark, folder, "orders")
-    writers.append_table(orders.limit(0), path)
+    writers.append_table(td.table(spark, folder, "orders"), path)
     writers.replace_table(orders, path)
     writers.append_table(orders, path)
     return spark.read.schema(orders.schema).parquet(path).groupBy("o_orderstatus").agg(
@@ -212,9 +212,9 @@ def discover_schema(spark, folder):
 
 
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_retailprice AS price FROM part
-  WHERE p_size % 4 NOT IN (0, 1)""")
+  WHERE p_type NOT IN ('ECONOMY', 'SMALL')""")
 def unwrap_envelope(spark, folder):
-    """A quarter of the lines is cut short, a quarter has no payload."""
+    """Lines of one product type are cut short, those of another have no payload."""
     part = td.table(spark, folder, "part")
     payload = F.to_json(
         F.struct(
@@ -222,10 +222,10 @@ def unwrap_envelope(spark, folder):
             F.col("p_retailprice").alias("price"), F.col("p_brand").alias("not_listed"),
         )
     )
-    kind = F.col("p_size") % 4
+    kind = F.col("p_type")
     line = (
-        F.when(kind == 0, F.concat(F.lit('{"data": '), payload, F.lit(', "crawled_at": ')))
-        .when(kind == 1, F.lit('{"product_id": 1, "crawled_at": "now"}'))
+        F.when(kind == "ECONOMY", F.concat(F.lit('{"data": '), payload, F.lit(', "crawled_at": ')))
+        .when(kind == "SMALL", F.lit('{"product_id": 1, "crawled_at": "now"}'))
         .otherwise(F.concat(F.lit('{"data": '), payload, F.lit(', "crawled_at": "now"}')))
     )
     return normalize.unwrap_envelope(part.select(line.alias("line")), "line", schemas.PRODUCTS).select(

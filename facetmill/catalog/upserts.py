@@ -130,3 +130,13 @@ def late_merge(spark, folder):
     source, target = _late(spark, folder)
     late = upsert.reprocess_late(source, target, ["o_orderkey"], ["total"], "day")
     return upsert.merge_columns(target, late, ["o_orderkey"], ["total"]).drop("updated_at", "updated_by")
+
+
+@query(f"""WITH {_LATE}, touched AS (SELECT * FROM target WHERE day IN (SELECT day FROM changes))
+  SELECT coalesce(t.o_orderkey, c.o_orderkey) AS o_orderkey, CAST(coalesce(t.day, c.day) AS VARCHAR) AS day,
+  CAST(coalesce(c.total, t.total) AS DOUBLE) AS total FROM touched t FULL JOIN changes c ON t.o_orderkey = c.o_orderkey""")
+def late_merge_touched_days(spark, folder):
+    """M7, M8 on the touched date folders only."""
+    source, target = _late(spark, folder)
+    late = upsert.reprocess_late(source, target, ["o_orderkey"], ["total"], "day")
+    return upsert.merge_touched(target, late, ["o_orderkey"], ["total"], "day").select("o_orderkey", "day", "total")

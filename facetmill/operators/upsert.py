@@ -139,3 +139,21 @@ def reprocess_late(
         else:
             out.append(value_if(there, F.col(f"o.{c}"), F.col(f"n.{c}")).alias(c))
     return joined.select(*out)
+
+
+def merge_touched(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    partition: str,
+    check: bool = True,
+) -> DataFrame:
+    """The partitions that ``changes`` touch, merged; the rest of the target is not read.
+
+    ``changes`` hold matched rows with their old ``partition`` value, as
+    :func:`reprocess_late` gives them. Write the result with dynamic partition
+    overwrite: an upsert of a week rewrites a week, not the whole table.
+    """
+    touched = target.join(changes.select(partition).distinct(), partition, "left_semi")
+    return merge_columns(touched.select(target.columns), changes, keys, update, check)

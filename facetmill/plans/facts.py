@@ -9,7 +9,9 @@ from ..functions.audit import UPDATED, with_audit
 from ..operators.intervals import version_at
 from ..operators.joins import lookup_join
 from ..operators.rates import convert_lines, dense_rates
-from ..operators.upsert import changed_or_new, merge_columns, reprocess_late
+from ..operators.upsert import changed_or_new, merge_columns, merge_touched, reprocess_late
+from ..session import materialize
+from ..sources.writers import write_partitioned
 
 LINE_COLUMNS = [
     "order_id", "local_datetime", "local_order_date", "order_date_key", "store_id", "ip_address",
@@ -146,8 +148,7 @@ def sales_rows(
 def fact_sales_order_detail(rows: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """The sales fact; with a target, the table after reprocessing the last seven days (M7).
 
-    For a table partitioned by ``local_order_date`` write the result of
-    ``late_sales`` instead, with dynamic partition overwrite.
+    For a table kept in date folders use :func:`upsert_sales` instead.
     """
     if target is None:
         return with_audit(rows)
@@ -160,3 +161,20 @@ def late_sales(rows: DataFrame, target: DataFrame, days: int = 7) -> DataFrame:
     return reprocess_late(
         rows, target, ["sales_key"], [*MEASURES, "currency_key"], "local_order_date", days
     )
+
+
+def write_sales(fact: DataFrame, path: str) -> None:
+    """The fact in date folders, sorted inside for pruning."""
+    write_partitioned(
+        fact, path, "local_order_date", ["order_date_key", "order_id", "scd_customer_key", "product_key"]
+    )
+
+
+def upsert_sales(rows: DataFrame, path: str, days: int = 7) -> None:
+    """Upsert into the fact kept at ``path``, rewriting only the touched date folders (M7, M8)."""
+    target = rows.sparkSession.read.parquet(path)
+    changes = materialize(late_sales(rows, target, days), "late_sales")
+    merged = merge_touched(
+        target, changes, ["sales_key"], [*MEASURES, "currency_key", *UPDATED], "local_order_date"
+    )
+    write_sales(materialize(merged, "touched_sales"), path)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.keys import UNKNOWN_KEY
 from ..functions.urls import StoreUrlRules
 from ..session import materialize
 from . import dims, facts, mart, staging
@@ -34,39 +37,55 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
 
     Tables read by more than one later step are written to the shared folder:
     nothing is computed twice, a lost executor costs one step at most, and
-    lookups see exact sizes.
+    lookups see exact sizes. The branches for sales, customers and places do
+    not depend on each other; they are submitted side by side, so that the
+    tail of one branch does not leave the cluster idle.
     """
     t: dict[str, DataFrame] = {}
 
     def table(name: str, df: DataFrame) -> None:
         t[name] = materialize(df, name)
 
-    table("stg_sales_order_detail", staging.stg_sales_order_detail(src.events))
-    table("stg_user_email", staging.stg_user_email_by_local_datetime(src.visits))
-    table("stg_ip_location_mapping", staging.stg_ip_location_mapping(src.ip_locations))
-    table("dim_date", dims.dim_date(src.calendar))
-    table("dim_currency", dims.dim_currency(src.currencies))
-    table("dim_location", dims.dim_location(t["stg_ip_location_mapping"]))
-    table(
-        "dim_store",
-        dims.dim_store(
-            staging.stg_store_url_info(src.visits, src.url_rules),
-            src.countries,
-            src.url_rules.local_host,
-        ),
-    )
-    table(
-        "dim_product",
-        dims.dim_product(staging.stg_product(src.products), t["stg_sales_order_detail"]),
-    )
-    table("dim_customer_scd", dims.dim_customer_scd(t["stg_user_email"]))
-    table("dim_customer_current", dims.dim_customer_current(t["stg_user_email"]))
-    table(
-        "fact_snapshot_exchange_rate",
-        facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], src.rates),
-    )
-    table("order_lines", facts.summed_lines(t["stg_sales_order_detail"]))
-    known_versions = t["dim_customer_scd"].where(F.col("scd_customer_key") != -1)
+    def sales() -> None:
+        table("stg_sales_order_detail", staging.stg_sales_order_detail(src.events))
+        table("order_lines", facts.summed_lines(t["stg_sales_order_detail"]))
+        table(
+            "dim_product",
+            dims.dim_product(staging.stg_product(src.products), t["stg_sales_order_detail"]),
+        )
+
+    def customers() -> None:
+        table("stg_user_email", staging.stg_user_email_by_local_datetime(src.visits))
+        table("dim_customer_scd", dims.dim_customer_scd(t["stg_user_email"]))
+        table("dim_customer_current", dims.dim_customer_current(t["stg_user_email"]))
+
+    def places() -> None:
+        table("stg_ip_location_mapping", staging.stg_ip_location_mapping(src.ip_locations))
+        table("dim_location", dims.dim_location(t["stg_ip_location_mapping"]))
+        table(
+            "dim_store",
+            dims.dim_store(
+                staging.stg_store_url_info(src.visits, src.url_rules),
+                src.countries,
+                src.url_rules.local_host,
+            ),
+        )
+
+    def money() -> None:
+        table("dim_date", dims.dim_date(src.calendar))
+        table("dim_currency", dims.dim_currency(src.currencies))
+        table(
+            "fact_snapshot_exchange_rate",
+            facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], src.rates),
+        )
+
+    inherit = inheritable_thread_target(src.events.sparkSession)
+    branches = [inherit(branch) for branch in (sales, customers, places, money)]
+    with ThreadPoolExecutor(len(branches)) as pool:
+        for done in [pool.submit(branch) for branch in branches]:
+            done.result()
+
+    known_versions = t["dim_customer_scd"].where(F.col("scd_customer_key") != UNKNOWN_KEY)
     t["fact_sales_order_detail"] = facts.fact_sales_order_detail(
         facts.sales_rows(
             t["order_lines"],

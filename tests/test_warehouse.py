@@ -109,6 +109,10 @@ def test_mart_rows(built):
     assert (guest.customer_id, guest.store_id, guest.product_name) == ("-1", "-1", "Unknown")
 
 
+def test_products_of_rejected_lines_are_still_products(built):
+    assert built["dim_product"].where("product_id = 'p9'").count() == 1
+
+
 def test_rejects_are_reported_with_reason_d4(src):
     got = {r.reason: r.order_id for r in staging.rejected_lines(src.events).collect()}
     assert got == {"order_id": "bad", "price": "103"}
@@ -131,6 +135,23 @@ def test_fact_upsert_touches_the_last_week_only(spark, src, built):
     assert facts.late_sales(early, fact).count() == 0
 
 
+def test_partitioned_fact_upsert_rewrites_touched_days_only(spark, built, tmp_path):
+    path = str(tmp_path / "fact")
+    fact = built["fact_sales_order_detail"]
+    old_day = F.when(F.col("order_id") == "103", F.lit("2019-12-01").cast("date")).otherwise(F.col("local_order_date"))
+    facts.write_sales(fact.withColumn("local_order_date", old_day), path)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "fact").rglob("*.parquet")}
+    rows = fact.select(*facts.FACT_COLUMNS).where("order_id = '104'")
+    new = rows.withColumns({"sales_key": F.lit(5).cast("bigint"), "order_id": F.lit("105")})
+    facts.upsert_sales(rows.withColumn("usd_amount", F.lit(9).cast("decimal(38,9)")).unionByName(new), path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == fact.count() + 1
+    assert {float(r.usd_amount) for r in stored.where("local_order_date = '2020-01-09'").collect()} == {9.0, 60.0}
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "fact").rglob("*.parquet")}
+    kept = {f for f in before if "2020-01-09" not in str(f)}
+    assert kept and all(after.get(f) == before[f] for f in kept)
+
+
 def test_customer_upsert_closes_versions(spark, src, built):
     target = built["dim_customer_scd"]
     more = spark.createDataFrame(
