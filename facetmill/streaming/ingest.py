@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import utc_from_epoch
-from ..operators.upsert import merge_columns, reprocess_late
+from ..operators.upsert import merge_columns, merge_touched, reprocess_late
 
 
 def arriving_json(
@@ -76,9 +76,13 @@ def late_upsert(
     measures: Sequence[str],
     date_column: str,
     days: int = 7,
+    touched_only: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """A batch handler that upserts rows inside the late window (T2 with M7).
 
+    With ``touched_only`` the handler passes on the touched days alone, for a
+    ``write_target`` that overwrites date folders; otherwise the whole table.
+
     ``read_target`` gives the table as of the last finished batch,
     ``write_target`` stores the new version. Handling a batch twice gives the
     same table, which is what a restart after a lost driver does.
@@ -87,6 +91,10 @@ def late_upsert(
     def handle(batch: DataFrame, number: int) -> None:
         target = read_target()
         changes = reprocess_late(batch, target, keys, measures, date_column, days)
-        write_target(merge_columns(target, changes, keys, measures), number)
+        if touched_only:
+            merged = merge_touched(target, changes, keys, measures, date_column)
+        else:
+            merged = merge_columns(target, changes, keys, measures)
+        write_target(merged, number)
 
     return handle

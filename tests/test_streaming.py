@@ -64,3 +64,22 @@ def test_late_upsert_is_the_same_after_a_repeated_batch(spark, tmp_path):
     first = sorted(tuple(r) for r in read().select("id", "v").collect())
     handle(batch, 1)
     assert first == sorted(tuple(r) for r in read().select("id", "v").collect()) == [(1, 5), (2, 0), (3, 5)]
+
+
+def test_late_upsert_of_touched_days_leaves_other_folders(spark, tmp_path):
+    from facetmill.session import materialize
+    from facetmill.sources import writers
+
+    path = str(tmp_path / "table")
+    target = spark.sql("select 1L id, date'2020-01-20' day, 0L v union all select 2L, date'2020-01-19', 0L")
+    writers.write_partitioned(target, path, "day")
+    handle = ingest.late_upsert(
+        lambda: spark.read.parquet(path).select("id", "day", "v"),
+        lambda df, number: writers.write_partitioned(materialize(df, "touched"), path, "day"),
+        ["id"], ["v"], "day", touched_only=True,
+    )
+    batch = spark.sql("select 1L id, date'2020-01-20' day, 5L v union all select 3L, date'2020-01-18', 6L")
+    handle(batch, 0)
+    handle(batch, 0)
+    got = sorted((r.id, str(r.day), r.v) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "2020-01-20", 5), (2, "2020-01-19", 0), (3, "2020-01-18", 6)]
