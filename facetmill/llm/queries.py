@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sql, urls
+from . import bpe, mixing, quality, sql, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,11 +24,15 @@ def op2_mixing(spark, sf_dir):
     return mixing.digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark, sf_dir):
+    return bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op5_bpe, op10_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_url_filters": sql.url_filters(),
