@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .workers import bounded, map_batches
+
 #: How a text falls into pieces that no merge crosses (a fixed part of the format of these vocabularies).
 PIECES = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -32,7 +34,6 @@ CHUNK = 1 << 16  # characters split into pieces at once
 CACHED_PIECES = 150_000  # encoded pieces kept by a worker; beyond that it starts afresh
 LONGEST_CACHED = 64
 KEPT_VERDICTS = 400_000  # on neighbouring tokens
-BATCH_BYTES = 4 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -280,17 +281,6 @@ def _encoder(text: str, lookahead: int) -> Encoder:
     return Encoder(_tables(text), lookahead)
 
 
-def _batches(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch in runs whose column holds a bounded number of bytes (one row at least)."""
-    sizes = np.cumsum(np.frombuffer(pa.compute.coalesce(pa.compute.binary_length(batch[column]), 0).cast(pa.int64()).buffers()[1], np.int64, len(batch)))
-    low = 0
-    while low < len(batch):
-        before = sizes[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(sizes, before + BATCH_BYTES, "right")))
-        yield batch.slice(low, high - low)
-        low = high
-
-
 def encode(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "text", packed: bool = False) -> DataFrame:
     """Columns ``keep`` of every row plus ``_ids`` (array<int>, or packed bytes) and ``_n_tokens``.
 
@@ -307,7 +297,7 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(*shared.value)
         for whole in batches:
-            for batch in _batches(whole, "_text"):
+            for batch in bounded(whole, "_text"):
                 ids = [encoder.encode(t) for t in batch["_text"].to_pylist()]
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
                 if packed:
@@ -317,7 +307,7 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "text"
                     column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
                 yield pa.RecordBatch.from_arrays([batch["_row"], column, pa.array(counts)], names=["_row", "_ids", "_n_tokens"])
 
-    return rows.mapInArrow(run, schema).select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], "_ids", "_n_tokens")
+    return map_batches(rows, run, schema).select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], "_ids", "_n_tokens")
 
 
 def decode(tokens: DataFrame, vocabulary: str, keep: list[str], ids: str = "_ids") -> DataFrame:
@@ -330,11 +320,11 @@ def decode(tokens: DataFrame, vocabulary: str, keep: list[str], ids: str = "_ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(_tables(shared.value))
         for whole in batches:
-            for batch in _batches(whole, "_ids"):
+            for batch in bounded(whole, "_ids"):
                 texts = [decoder.decode(np.frombuffer(x, "<u4")) for x in batch["_ids"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch["_row"], pa.array(texts, pa.string())], names=["_row", "_text"])
 
-    return rows.mapInArrow(run, schema).select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], "_text")
+    return map_batches(rows, run, schema).select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], "_text")
 
 
 def digest(docs: DataFrame, vocabulary: str) -> DataFrame:
