@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, mixing, quality, sql, urls
+from . import bpe, jaccard, language, mixing, quality, sql, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op5_bpe(spark, sf_dir):
     return bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_jaccard(spark, sf_dir):
+    return jaccard.digest(_table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark, sf_dir):
     return language.digest(_table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op10_quality_rules(spark, sf_dir):
     return quality.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op5_bpe, op9_language, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op5_bpe, op8_jaccard, op9_language, op10_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_url_filters": sql.url_filters(),

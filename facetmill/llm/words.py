@@ -34,7 +34,7 @@ def _power(kind: str, inverse: bool, n: int) -> np.ndarray:
     base = _BASES[kind]
     base = pow(base, -1, 2**64) if inverse else base
     out = np.full(max(n, SLICE_BYTES), base, np.uint64)
-    out[0] = 1
+    out[:1] = 1
     np.cumprod(out, out=out)
     if n <= SLICE_BYTES:
         _powers[kind, inverse] = out
@@ -65,14 +65,17 @@ class Words:
         out = (sums[self.ends] - sums[self.starts]) * _power("byte", True, len(self.data))[self.starts]
         return mix(out + (self.ends - self.starts).astype(np.uint64))
 
-    def windows(self, word_hashes: np.ndarray, k: int) -> np.ndarray:
-        """Hash of the k words from each word on. Windows that leave their text hold no meaning: see ``whole``."""
+    def spans(self, word_hashes: np.ndarray, start: np.ndarray, length) -> np.ndarray:
+        """Hash of the ``length`` words from each of the words ``start`` on."""
         n = len(word_hashes)
-        if n < k:
-            return np.zeros(0, np.uint64)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(word_hashes * _power("word", False, n), out=sums[1:])
-        return mix((sums[k:] - sums[:-k]) * _power("word", True, n)[: n - k + 1] + np.uint64(k))
+        length = np.broadcast_to(length, start.shape)
+        return mix((sums[start + length] - sums[start]) * _power("word", True, n)[start] + length.astype(np.uint64))
+
+    def windows(self, word_hashes: np.ndarray, k: int) -> np.ndarray:
+        """Hash of the k words from each word on. Windows that leave their text hold no meaning: see ``whole``."""
+        return self.spans(word_hashes, np.arange(max(0, len(word_hashes) - k + 1)), k)
 
     def whole(self, k: int) -> np.ndarray:
         """Whether the window of k words from each word on lies in one text."""
