@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, language, mixing, quality, sql, urls
+from . import bpe, jaccard, language, mixing, quality, sql, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +24,18 @@ def op2_mixing(spark, sf_dir):
     return mixing.digest(_table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark, sf_dir):
+    return topk.digest(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark, sf_dir):
     return bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_substrings(spark, sf_dir):
+    return substrings.digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard(spark, sf_dir):
     return jaccard.digest(_table(spark, sf_dir, "documents"))
 
@@ -40,10 +48,11 @@ def op10_quality_rules(spark, sf_dir):
     return quality.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op5_bpe, op8_jaccard, op9_language, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_topk, op5_bpe, op7_substrings, op8_jaccard, op9_language, op10_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_url_filters": sql.url_filters(),
     "op2_mixing": sql.mixture(),
+    "op3_topk": sql.nearest(),
     "op10_quality_rules": sql.quality_rules(),
 }

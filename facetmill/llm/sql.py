@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import mixing, quality, urls
+from . import mixing, quality, topk, urls
 
 
 def url_filters() -> str:
@@ -96,3 +96,13 @@ def quality_rules() -> str:
       {posterior} AS quality FROM voted, {last})
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
       NOT base_failed AND quality >= 0.5 AS kept, round(quality, 6) AS quality FROM judged"""
+
+
+def nearest() -> str:
+    return f"""WITH whole AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({topk.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM whole q JOIN whole c ON q.vec_id % {topk.QUERY_STEP} = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
+      (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= {topk.K}"""
