@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, language, mixing, quality, sql, substrings, topk, urls
+from . import bpe, html, jaccard, language, mixing, quality, sql, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op3_topk(spark, sf_dir):
     return topk.digest(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_html(spark, sf_dir):
+    return html.digest(_table(spark, sf_dir, "pages"))
+
+
 def op5_bpe(spark, sf_dir):
     return bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,7 +52,7 @@ def op10_quality_rules(spark, sf_dir):
     return quality.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_topk, op5_bpe, op7_substrings, op8_jaccard, op9_language, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op7_substrings, op8_jaccard, op9_language, op10_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_url_filters": sql.url_filters(),
