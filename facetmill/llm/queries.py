@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, jaccard, language, mixing, quality, sql, substrings, topk, urls
+from . import bpe, html, jaccard, language, mixing, pii, quality, sql, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op5_bpe(spark, sf_dir):
     return bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_pii(spark, sf_dir):
+    return pii.digest(_table(spark, sf_dir, "documents"))
+
+
 def op7_substrings(spark, sf_dir):
     return substrings.digest(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_quality_rules(spark, sf_dir):
     return quality.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op7_substrings, op8_jaccard, op9_language, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op6_pii, op7_substrings, op8_jaccard, op9_language, op10_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_url_filters": sql.url_filters(),
