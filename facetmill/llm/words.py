@@ -71,7 +71,7 @@ class Words:
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(word_hashes * _power("word", False, n), out=sums[1:])
         length = np.broadcast_to(length, start.shape)
-        return mix((sums[start + length] - sums[start]) * _power("word", True, n)[start] + length.astype(np.uint64))
+        return mix((sums[start + length] - sums[start]) * _power("word", True, n + 1)[start] + length.astype(np.uint64))
 
     def windows(self, word_hashes: np.ndarray, k: int) -> np.ndarray:
         """Hash of the k words from each word on. Windows that leave their text hold no meaning: see ``whole``."""
