@@ -8,6 +8,7 @@ from ..functions.keys import UNKNOWN_KEY
 from ..operators import intervals, rates, scans
 from ..plans import dims, facts, staging
 from ..plans import testdata as td
+from ..session import materialize
 from . import fragments as q
 from .registry import query
 
@@ -72,6 +73,16 @@ def email_change_intervals(spark, folder):
     return runs.withColumn("start_utc", F.col("start_utc").cast("timestamp_ntz"))
 
 
+@query(f"""WITH {q.intervals(q.BROWSING.replace('ts AS t,', "date_trunc('hour', ts) AS t,"))}
+  SELECT k AS user_id_db, s AS email_address, grp AS group_number, {q.ts('start_at')} AS start_at,
+    {q.ts('start_utc')} AS start_utc FROM runs""")
+def email_change_ties(spark, folder):
+    """M1 with local times cut to the hour: several states at one time, ranked by UTC time."""
+    seen = td.browsing(spark, folder).withColumn("local_datetime", F.date_trunc("hour", "local_datetime").cast("timestamp_ntz"))
+    runs = intervals.change_intervals(seen, "user_id_db", "email_address", "local_datetime", "utc_timestamp")
+    return runs.withColumn("start_utc", F.col("start_utc").cast("timestamp_ntz"))
+
+
 @query(f"""WITH {q.BUYERS}, {q.intervals(q.BUYING)}
   SELECT k AS user_id_db, s AS email_address, grp AS group_user_email, {q.ts('start_at')} AS start_local_datetime,
     CAST(epoch(start_utc) AS BIGINT) AS start_epoch FROM runs""")
@@ -94,6 +105,22 @@ def dim_customer_scd(spark, folder):
     return dims.without_audit(dims.dim_customer_scd(staged))
 
 
+_SCD_SQL = f"""WITH {q.BUYERS}, {q.intervals(q.BUYING)}
+  SELECT version_key AS scd_customer_key, k AS user_id_db, coalesce(s, 'Unknown') AS email_address,
+    {q.ts('start_at')} AS start_local_datetime, {q.ts('end_at')} AS end_local_datetime, is_current FROM versions
+  UNION ALL SELECT -1, '-1', 'Unknown', '1900-01-01 00:00:00.000000', '9999-12-31 00:00:00.000000', FALSE"""
+
+
+@query(_SCD_SQL)
+def scd_upsert_late(spark, folder):
+    """M2: a fifth of the page views arrives late; the upsert gives what a full build gives, one current row per user."""
+    visits = td.visits(spark, folder)
+    known = visits.where(F.col("_id").cast("bigint") % 5 != 0)
+    target = materialize(dims.dim_customer_scd(staging.stg_user_email_by_local_datetime(known)), "target")
+    scd = dims.dim_customer_scd(staging.stg_user_email_by_local_datetime(visits), target=target)
+    return scd.select("scd_customer_key", "user_id_db", "email_address", "start_local_datetime", "end_local_datetime", "is_current")
+
+
 @query(f"""WITH {q.BUYERS}, {q.intervals(q.BUYING)},
   last_known AS (SELECT DISTINCT k, last_value(s IGNORE NULLS) OVER (PARTITION BY k ORDER BY start_at, start_utc, grp
       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS s,
@@ -144,6 +171,22 @@ def fx_densify_ffill(spark, folder):
     )
 
 
+_GAPS = q.DENSE_RATES.replace(
+    q.CALENDAR, q.CALENDAR.replace("calendar AS", "every_day AS") + ", calendar AS (SELECT day FROM every_day WHERE dayofweek(day) <> 0)"
+)
+
+
+@query(f"""WITH {_GAPS}
+  SELECT date_key, CAST(day AS VARCHAR) AS full_date, code AS from_currency_code, 'USD' AS to_currency_code,
+    CAST(rate AS DOUBLE) AS exchange_rate FROM dense""")
+def fx_densify_gaps(spark, folder):
+    """A calendar without Sundays, and rates with date keys that name no day."""
+    known = td.rates(spark, folder)
+    bad = known.withColumn("date_key", F.lit(20191399).cast(known.schema["date_key"].dataType))
+    days = _calendar(spark, folder).where(F.dayofweek("full_date") != 1)
+    return rates.dense_rates(known.unionByName(bad), days, td.currencies(spark, folder))
+
+
 @query(f"""WITH {q.DENSE_RATES}
   SELECT {q.key('date_key', 'code', "'USD'")} AS exchange_rate_key, date_key, CAST(day AS VARCHAR) AS full_date,
     {q.key('code')} AS from_currency_key, {q.key("'USD'")} AS to_currency_key, CAST(rate AS DOUBLE) AS exchange_rate

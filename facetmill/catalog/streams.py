@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from ..plans import testdata as td
-from ..session import new_folder
+from ..session import materialize, new_folder
 from ..sources import writers
 from ..streaming import ingest
 from .registry import query
@@ -62,29 +62,26 @@ def stream_dedup(spark, folder):
     CASE WHEN CAST(ts AS DATE) >= floor THEN value + 1 ELSE value END AS value FROM events CROSS JOIN last
   WHERE event_type <> 'purchase' OR CAST(ts AS DATE) >= floor""")
 def stream_late_upsert(spark, folder):
-    """T2 with M7: arriving rows within seven days of the target's newest one are merged."""
+    """T2 with M7: rows within seven days of the target's newest one are merged into the touched day folders; all files arrive twice."""
     landing, mark = _landed(spark, folder), new_folder(spark, "mark")
-    start = new_folder(spark, "target")
-    schema = "event_id bigint, day date, value double"
+    path = new_folder(spark, "target")
 
     def shaped(df):
         return df.select("event_id", F.to_date(F.timestamp_seconds("time_stamp")).alias("day"), "value")
 
     known = spark.read.schema(EVENT).option("pathGlobFilter", "*.json").json(landing)
-    shaped(known.where("event_type <> 'purchase'")).write.parquet(start)
-    current = {"path": start}
+    writers.write_partitioned(shaped(known.where("event_type <> 'purchase'")), path, "day")
+    writers.write_json_lines(known, landing)
 
     def read():
-        return spark.read.schema(schema).parquet(current["path"])
+        return spark.read.parquet(path).select("event_id", "day", "value")
 
     def write(df, number):
-        path = f"{start}-v{number}"
-        df.write.mode("overwrite").parquet(path)
-        current["path"] = path
+        writers.write_partitioned(materialize(df, "touched"), path, "day")
 
     stream = shaped(
         ingest.arriving_json(spark, landing, EVENT, glob="*.json").withColumn("value", F.col("value") + 1)
     )
-    handler = ingest.late_upsert(read, write, ["event_id"], ["value"], "day")
+    handler = ingest.late_upsert(read, write, ["event_id"], ["value"], "day", touched_only=True)
     ingest.each_batch(stream, handler, mark).awaitTermination()
     return read()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from ..functions.audit import AUDIT
-from ..operators import upsert
+from ..operators import joins, upsert
+from ..plans import facts
 from ..plans import testdata as td
 from .registry import query
 
@@ -140,3 +143,61 @@ def late_merge_touched_days(spark, folder):
     source, target = _late(spark, folder)
     late = upsert.reprocess_late(source, target, ["o_orderkey"], ["total"], "day")
     return upsert.merge_touched(target, late, ["o_orderkey"], ["total"], "day").select("o_orderkey", "day", "total")
+
+
+# The fact as of AS_OF: order lines, one of them dated far in the future by its client. Then every line arrives again with a higher price.
+_SALES = f"""
+line AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS day, l_linenumber, l_extendedprice AS price
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+fact AS (SELECT order_id, CASE WHEN order_id = (SELECT min(order_id) FROM line WHERE day < DATE '1998-01-01') THEN DATE '2099-01-01' ELSE day END AS day,
+  l_linenumber, price FROM line WHERE day < DATE '{AS_OF}'),
+floor AS (SELECT max(day) - 7 AS floor FROM fact WHERE day <= DATE '{AS_OF}')"""
+
+
+def _sales(spark, folder):
+    orders = td.table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("local_order_date"))
+    lines = td.table(spark, folder, "lineitem")
+    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.col("l_orderkey").cast("string").alias("order_id"), "local_order_date", "l_linenumber", F.col("l_extendedprice").alias("price")
+    )
+    as_of = F.lit(AS_OF).cast("date")
+    first = rows.where(F.col("local_order_date") < F.lit("1998-01-01").cast("date")).agg(F.min("order_id")).scalar()
+    day = F.when(F.col("order_id") == first, F.lit("2099-01-01").cast("date")).otherwise(F.col("local_order_date"))
+    target = rows.where(F.col("local_order_date") < as_of).withColumn("local_order_date", day)
+
+    def keyed(df):
+        return df.withColumn("sales_key", F.xxhash64("order_id", "l_linenumber", "price"))
+
+    stamp = [F.lit("2000-01-01").cast("timestamp").alias(c) if c.endswith("at") else F.lit("old").alias(c) for c in AUDIT]
+    return keyed(rows.withColumn("price", F.col("price") + 1)), keyed(target).select("*", *stamp)
+
+
+@query(f"""WITH {_SALES} SELECT order_id, CAST(day AS VARCHAR) AS local_order_date, l_linenumber, CAST(price AS DOUBLE) AS price, 'old' AS created_by
+    FROM fact, floor WHERE day < floor OR order_id NOT IN (SELECT order_id FROM line, floor WHERE line.day >= floor)
+  UNION ALL SELECT order_id, CAST(day AS VARCHAR), l_linenumber, CAST(price + 1 AS DOUBLE), 'new' FROM line, floor WHERE day >= floor""")
+def fact_upsert_corrected(spark, folder):
+    """M7, M8: corrected prices replace the lines of the last week; a date in the future does not close the window."""
+    rows, target = _sales(spark, folder)
+    merged = facts.fact_sales_order_detail(rows, target, as_of=datetime.date.fromisoformat(AS_OF))
+    who = F.when(F.col("created_by") == "old", "old").otherwise("new").alias("created_by")
+    return merged.select("order_id", "local_order_date", "l_linenumber", "price", who)
+
+
+@query(f"""WITH {_SALES} SELECT order_id, CAST(day AS VARCHAR) AS local_order_date, l_linenumber FROM line, floor WHERE day < floor""")
+def fact_upsert_late(spark, folder):
+    """M7: the arriving lines that are too old to be taken."""
+    rows, target = _sales(spark, folder)
+    return facts.late_rejects(rows, target, as_of=datetime.date.fromisoformat(AS_OF)).select("order_id", "local_order_date", "l_linenumber")
+
+
+@query("""SELECT l_orderkey, l_linenumber, c_name AS customer, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE o_custkey END AS buyer
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN (SELECT * FROM customer WHERE c_nationkey <> 3) ON c_custkey =
+    CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE o_custkey END""")
+def spread_lookup_guests(spark, folder):
+    """A shuffle lookup with guests (NULL), a hot buyer and buyers that the dimension lacks."""
+    orders = td.table(spark, folder, "orders")
+    buyer = F.when(F.col("o_orderstatus") == "P", None).when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(F.col("o_custkey"))
+    lines = td.table(spark, folder, "lineitem").join(orders.select("o_orderkey", buyer.cast("bigint").alias("buyer")), F.col("l_orderkey") == F.col("o_orderkey"))
+    known = td.table(spark, folder, "customer").where("c_nationkey <> 3").select(F.col("c_custkey").alias("buyer"), F.col("c_name").alias("customer"))
+    spread = joins.lookup_join(lines.select("l_orderkey", "l_linenumber", "buyer"), known, ["buyer"], ["l_orderkey", "l_linenumber"], max_rows=0, hot_rows=500)
+    return spread.select("l_orderkey", "l_linenumber", "customer", "buyer")

@@ -132,6 +132,18 @@ def dim_product(spark, folder):
     return without_audit(dims.dim_product(staging.stg_product(td.products(spark, folder)), sold))
 
 
+@query(f"""WITH {q.PRODUCTS.replace('p_retailprice AS vnd_unit_price', 'p_retailprice + 1 AS vnd_unit_price')}
+  SELECT {q.key('product_id')} AS product_key, {_PRODUCT_COLUMNS} FROM products
+  UNION ALL SELECT -1, '-1', 'Unknown', 'Unknown', '-1', 'Unknown', 'Unknown', 0, 0, 0, '-1', 'Unknown', '-1', 'Unknown',
+    '-1', 'Unknown', 'Unknown'""")
+def dim_product_recrawled(spark, folder):
+    """Every product loaded twice; the later load counts, one row per product."""
+    staged = staging.stg_product(td.products(spark, folder))
+    again = staged.withColumns({"vnd_unit_price": (F.col("vnd_unit_price") + 1).cast("decimal(38,9)"), "loaded": F.lit(2)})
+    sold = td.lines_as_written(spark, folder).select("product_id")
+    return without_audit(dims.dim_product(staged.withColumn("loaded", F.lit(1)).unionByName(again), sold, loaded="loaded"))
+
+
 @query("""WITH sold AS (SELECT DISTINCT 'P' || l_suppkey AS id FROM lineitem), listed AS (SELECT 'P' || (p_partkey // 2) AS id,
     max(p_name) AS name FROM part GROUP BY 1)
   SELECT coalesce(l.id, s.id) AS product_id, coalesce(name, 'Unknown') AS product_name FROM listed l FULL JOIN sold s ON l.id = s.id""")

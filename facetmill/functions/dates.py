@@ -8,6 +8,7 @@ from .text import col
 
 OPEN_START = "1900-01-01 00:00:00"
 OPEN_END = "9999-12-31 00:00:00"
+EPOCH_BOUNDS = (-62_135_596_800, 253_402_300_799)
 
 
 def local_datetime(c: Column | str) -> Column:
@@ -16,8 +17,9 @@ def local_datetime(c: Column | str) -> Column:
 
 
 def utc_from_epoch(c: Column | str) -> Column:
-    """Epoch seconds to UTC time."""
-    return F.timestamp_seconds(col(c))
+    """Epoch seconds to UTC time; NULL outside the years 1 to 9999, as for microseconds taken for seconds."""
+    seconds = col(c)
+    return F.when(seconds.between(*EPOCH_BOUNDS), F.timestamp_seconds(seconds))
 
 
 def date_key(c: Column | str) -> Column:

@@ -29,20 +29,10 @@ def earliest_value(df: DataFrame, key: str, value: str, order: Sequence[str], ou
 def sample_rows(df: DataFrame, n: int, by: Sequence[str], seed: int = 0) -> DataFrame:
     """``n`` rows in a random, repeatable choice (O4): those with the least hash of ``by`` and the seed.
 
-    A large table is first cut to the rows below a hash bound that ``n`` rows
-    are all but sure to pass, so that the final selection handles few rows.
-    Should fewer pass, the bound is dropped: the result is the same either way.
+    One pass: each task keeps its ``n`` least, and those meet in one task (a sorted limit), so ``n`` is the size of a sample.
     """
     rank = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in by]))
-    ranked = df.withColumn("_rank", rank)
-    total = df.count()
-    share = (n + 10 * n**0.5 + 100) / max(total, 1)
-    if share < 0.5:
-        bound = format(int(share * 16**8), "08x")
-        below = ranked.where(F.substring("_rank", 1, 8) < bound)
-        if below.count() >= n:
-            ranked = below
-    return ranked.orderBy("_rank", *by).limit(n).drop("_rank")
+    return df.withColumn("_rank", rank).orderBy("_rank", *by).limit(n).drop("_rank")
 
 
 def with_default_member(dim: DataFrame, member: dict) -> DataFrame:

@@ -29,8 +29,8 @@ def change_intervals(
     """
     rows = (
         events.where(F.col(key).isNotNull() & F.col(at).isNotNull())
-        .groupBy(key, at, state)
-        .agg(F.min(utc).alias("_utc"))
+        .select(key, at, state, F.col(utc).alias("_utc"))
+        .distinct()
         .withColumn("_slice", whole_slice(hour_slice(at)))
     )
     order = [F.col(at), F.col("_utc"), F.col(state).asc_nulls_first()]

@@ -6,19 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
 from .scans import latest_at
 
 HOT_ROWS = 1_000_000
-SALTS = 64
+MOST_HOT_KEYS = 10_000
 BROADCAST_ROWS = 200_000
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows. Counted with partial sums per task.
+    """Keys with more than ``hot_rows`` rows, and into how many parts of that size each is cut (``_parts``).
 
-    There are at most ``rows / hot_rows`` such keys, whatever the data.
+    Counted with partial sums per task. The bar rises with the table, so that there are
+    at most ``MOST_HOT_KEYS`` of them: the list can be broadcast whatever the data.
     """
-    return df.groupBy(*on).count().where(F.col("count") > hot_rows).select(*on)
+    bar = max(hot_rows, df.count() // MOST_HOT_KEYS)
+    counts = df.groupBy(*on).count().where(F.col("count") > bar)
+    return counts.select(*on, F.ceil(F.col("count") / bar).cast("int").alias("_parts"))
 
 
 def spread_left_join(
@@ -27,42 +31,30 @@ def spread_left_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join to a large table with unique keys, hot keys spread over ``salts`` tasks.
+    """Left join to a large table with unique keys, hot keys spread over as many tasks as their rows need.
 
-    Right rows of hot keys are copied once per salt; left rows of hot keys and
-    rows with a NULL key take a salt from a hash of ``spread_by``, so that a
-    re-run task gives the same rows. No row is dropped and, as keys are unique
-    on the right, none is doubled.
+    Right rows of hot keys are copied once per part; left rows of hot keys take a
+    part from a hash of ``spread_by``, so that a re-run task gives the same
+    rows. Rows with a NULL key match nothing and do not move. No row is dropped
+    and, as keys are unique on the right, none is doubled.
 
-    Keys are counted in ``counted`` (default: ``left``). Give the written table
-    that ``left`` was derived from, so that counting reads one column instead
-    of computing ``left`` a second time. The list of hot keys is broadcast; it
-    has at most ``rows / hot_rows`` entries.
+    Keys are counted in ``counted``: the written table that ``left`` was derived from, if
+    it has the key columns. Without it ``left`` is written once, as it is read twice.
     """
-    hot = F.broadcast(
-        hot_keys((left if counted is None else counted).select(*on).dropna(), on, hot_rows)
-        .withColumn("_hot", F.lit(True))
-    )
-    null_key = F.lit(False)
+    if counted is None:
+        left = counted = materialize(left, "spread")
+    known = F.lit(True)
     for k in on:
-        null_key = null_key | F.col(k).isNull()
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    zero = F.lit(0)
-    salted_left = (
-        left.join(hot, list(on), "left")
-        .withColumn("_salt", F.when(F.col("_hot") | null_key, salt).otherwise(zero))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(zero, F.lit(salts - 1))
-    salted_right = (
-        right.join(hot, list(on), "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(zero))))
-        .drop("_hot")
-    )
-    return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")
+        known = known & F.col(k).isNotNull()
+    hot = F.broadcast(materialize(hot_keys(counted.select(*on).dropna(), on, hot_rows), "hot_keys"))
+    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int"), F.lit(0))
+    parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    cut_left = left.where(known).join(hot, list(on), "left").withColumn("_part", part).drop("_parts")
+    cut_right = right.join(hot, list(on), "left").withColumn("_part", F.explode(parts)).drop("_parts")
+    joined = cut_left.join(cut_right, [*on, "_part"], "left").drop("_part")
+    return joined.unionByName(left.where(~known), allowMissingColumns=True)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -81,7 +73,6 @@ def lookup_join(
     spread_by: Sequence[str],
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a table with unique keys.
@@ -92,7 +83,7 @@ def lookup_join(
     """
     if fits_broadcast(right, max_rows):
         return left.join(F.broadcast(right), list(on), "left")
-    return spread_left_join(left, right, on, spread_by, hot_rows, salts, counted)
+    return spread_left_join(left, right, on, spread_by, hot_rows, counted)
 
 
 def resume_targets(targets: DataFrame, finished: DataFrame, failed: DataFrame, key: str) -> DataFrame:

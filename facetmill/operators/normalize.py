@@ -42,15 +42,25 @@ def json_list_of(c: Column | str, item: T.StructType) -> Column:
 
 
 def normalize_option(df: DataFrame, column: str = "option") -> DataFrame:
-    """Replace the raw ``option`` text by its array form and add the two split forms."""
-    raw = F.col(column)
-    return df.withColumns(
+    """Replace the raw ``option`` text by its array form and add the two split forms.
+
+    The text is parsed once, with the fields of both forms; each form picks its own.
+    """
+    first = _first_char(F.col(column))
+    parsed = df.withColumns({"_first": first, "_parsed": json_array_of(F.col(column), schemas.OPTION_ANY)})
+
+    def of(value: Column, fields: T.StructType) -> Column:
+        return F.struct(*[value.getField(f.name).alias(f.name) for f in fields])
+
+    none = F.array().cast(T.ArrayType(schemas.OPTION_ITEM))
+    listed = F.transform("_parsed", lambda x: of(x, schemas.OPTION_ITEM))
+    return parsed.withColumns(
         {
-            "option_object": json_object_of(raw, schemas.OPTION_OBJECT),
-            "option_list": json_list_of(raw, schemas.OPTION_ITEM),
-            column: json_array_of(raw, schemas.OPTION_ANY),
+            "option_object": F.when(F.col("_first") == "{", of(F.get("_parsed", F.lit(0)), schemas.OPTION_OBJECT)),
+            "option_list": F.when(F.col("_first") == "{", none).when(F.col("_first") == "[", listed),
+            column: F.col("_parsed"),
         }
-    )
+    ).drop("_first", "_parsed")
 
 
 _RAW_CART_ITEM = T.StructType(

@@ -22,7 +22,9 @@ def dense_rates(
     empty grid first. Days before a currency's first rate are absent.
     Currencies and days outside the dimensions are left out. Two rates for the
     same day fold into one before the shuffle (the greater wins), so a window
-    partition holds at most one row per calendar day.
+    partition holds at most one row per calendar day. A date key that names no
+    day counts nowhere (see :func:`rejected_rates`); days that the calendar
+    lacks are not produced.
     """
     days = calendar.select(F.col("full_date").alias("_day")).distinct()
     known = (
@@ -36,7 +38,7 @@ def dense_rates(
             "left_semi",
         )
     )
-    newest = rates.agg(date_from_key(F.max("date_key"))).scalar()
+    newest = rates.agg(F.max(date_from_key("date_key"))).scalar()
     last_day = calendar.where(F.col("full_date") <= newest).agg(F.max("full_date")).scalar()
     by_currency = Window.partitionBy("from_currency_code").orderBy("_day")
     until = F.coalesce(F.date_sub(F.lead("_day").over(by_currency), 1), F.col("_last"))
@@ -49,10 +51,16 @@ def dense_rates(
             F.lit(to_currency).alias("to_currency_code"),
             "exchange_rate",
         )
-        .select(date_key("full_date").alias("date_key"), "*")
+        .join(days.withColumnRenamed("_day", "full_date"), "full_date", "left_semi")
+        .select(date_key("full_date").alias("date_key"), "full_date", "from_currency_code", "to_currency_code", "exchange_rate")
     )
 
 
+def rejected_rates(rates: DataFrame) -> DataFrame:
+    """Rate rows whose date key names no day."""
+    return rates.where(F.col("date_key").isNull() | date_from_key("date_key").isNull())
+
+
 def convert_lines(
     lines: DataFrame, daily: DataFrame, spread_by: Sequence[str] | None = None
 ) -> DataFrame:

@@ -196,22 +196,14 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_num")
 
 
 def day_row_number(df: DataFrame, day: str, order: Sequence[str], out: str = "row_num") -> DataFrame:
-    """Position within the day; each day is bounded by the hour-sliced scan."""
-    keys = [day]
-    rows, inside, across = _rows_and_windows(
-        df, keys, [F.col(o) for o in order], hour_slice(order[0])
-    )
-    shift = (
-        rows.groupBy(day, "_slice")
-        .count()
-        .select(
-            day,
-            "_slice",
-            F.coalesce(F.sum("count").over(across.rowsBetween(*BEFORE_HERE)), F.lit(0)).alias("_shift"),
-        )
-    )
+    """Position within the day: the global position less that of the day's first row.
+
+    Rows are ranged on day and order, so an hour of the whole log is as many tasks as it has rows for; days have one summary row each.
+    """
+    numbered = materialize(global_row_number(df, [day, *order], "_place"), "places")
+    first = numbered.groupBy(day).agg((F.min("_place") - 1).alias("_before")).withColumnRenamed(day, "_day")
     return (
-        rows.join(shift, [day, "_slice"])
-        .withColumn(out, F.row_number().over(inside) + F.col("_shift"))
-        .drop("_slice", "_shift")
+        numbered.join(first, F.col(day).eqNullSafe(F.col("_day")))
+        .withColumn(out, F.col("_place") - F.col("_before"))
+        .drop("_place", "_before", "_day")
     )

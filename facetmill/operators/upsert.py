@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -104,12 +105,32 @@ def merge_columns(
     return joined.select(*out)
 
 
-def late_window(source: DataFrame, target: DataFrame, column: str, days: int = 7) -> DataFrame:
-    """Source rows not older than ``days`` before the target's newest row."""
-    floor = target.agg(lookback(F.max(column), days)).scalar()
+def late_floor(target: DataFrame, column: str, days: int = 7, as_of: datetime.date | None = None) -> Column:
+    """First day still open: ``days`` before the target's newest day up to ``as_of``.
+
+    Dates are written by clients. One row dated in the future must not close the
+    window for all later loads, so days after ``as_of`` (default: today) do not count.
+    """
+    last = F.lit(as_of) if as_of else F.current_date()
+    return target.where(F.col(column) <= last).agg(lookback(F.max(column), days)).scalar()
+
+
+def late_window(
+    source: DataFrame, target: DataFrame, column: str, days: int = 7, as_of: datetime.date | None = None
+) -> DataFrame:
+    """Source rows inside the open window; all rows for an empty target."""
+    floor = late_floor(target, column, days, as_of)
     return source.where(floor.isNull() | (F.col(column) >= floor))
 
 
+def left_out(
+    source: DataFrame, target: DataFrame, column: str, days: int = 7, as_of: datetime.date | None = None
+) -> DataFrame:
+    """Source rows that :func:`late_window` leaves out: older than the window, or without a date."""
+    floor = late_floor(target, column, days, as_of)
+    return source.where(floor.isNotNull() & (F.col(column).isNull() | (F.col(column) < floor)))
+
+
 def reprocess_late(
     staged: DataFrame,
     target: DataFrame,
@@ -117,13 +138,14 @@ def reprocess_late(
     measures: Sequence[str],
     date_column: str = "local_order_date",
     days: int = 7,
+    as_of: datetime.date | None = None,
 ) -> DataFrame:
     """Rows to write for a fact with late arrivals (M7).
 
     Staged rows inside the lookback replace the measures of matched target
     rows (all other columns stay) or are inserted.
     """
-    recent = late_window(staged, target, date_column, days)
+    recent = late_window(staged, target, date_column, days, as_of)
     n, o = recent.alias("n"), target.withColumn("_there", F.lit(True)).alias("o")
     joined = n.join(o, [F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys], "left")
     there = F.col("o._there").isNotNull()
@@ -152,8 +174,31 @@ def merge_touched(
     """The partitions that ``changes`` touch, merged; the rest of the target is not read.
 
     ``changes`` hold matched rows with their old ``partition`` value, as
-    :func:`reprocess_late` gives them. Write the result with dynamic partition
-    overwrite: an upsert of a week rewrites a week, not the whole table.
+    :func:`reprocess_late` gives them, and should be a written table. The
+    partitions are named in the filter, so that the scan of the target opens no
+    other folder. Write the result with dynamic partition overwrite: an upsert of
+    a week rewrites a week, not the whole table.
+    """
+    return merge_columns(in_partitions(target, partition, partition_values(changes, partition)), changes, keys, update, check)
+
+
+def partition_values(df: DataFrame, partition: str) -> list:
+    """The distinct values of a date column: a short list, bounded by the calendar."""
+    return sorted(r[0] for r in df.select(partition).distinct().where(F.col(partition).isNotNull()).collect())
+
+
+def in_partitions(df: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """Rows of the named partitions, by a literal list that prunes the scan."""
+    return df.where(F.col(partition).isin(list(values)) if values else F.lit(False))
+
+
+def replace_groups(
+    new: DataFrame, old: DataFrame, group: str, keys: Sequence[str]
+) -> DataFrame:
+    """``old`` with every group (order) that ``new`` holds replaced as a whole.
+
+    A corrected line replaces the old one whatever its key was, and a line that is
+    no longer part of its group goes. Rows with an unchanged key keep ``created_*``.
     """
-    touched = target.join(changes.select(partition).distinct(), partition, "left_semi")
-    return merge_columns(touched.select(target.columns), changes, keys, update, check)
+    audited = with_carried_audit(new, old, keys).select(old.columns)
+    return old.join(new.select(group).distinct(), group, "left_anti").select(old.columns).unionByName(audited)

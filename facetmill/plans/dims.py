@@ -107,9 +107,7 @@ def store_countries(url_info: DataFrame, countries: DataFrame, local_host: str)
 
 
 def store_rows(url_info: DataFrame, countries: DataFrame, local_host: str) -> DataFrame:
-    names = countries.select(
-        F.col("country_code_iso2").alias("country_code"), "country_name"
-    ).dropDuplicates(["country_code"])
+    names = countries.groupBy(F.col("country_code_iso2").alias("country_code")).agg(F.min("country_name").alias("country_name"))
     return store_countries(url_info, countries, local_host).join(names, "country_code", "left").select(
         keys.surrogate_key("store_id").alias("store_key"),
         F.col("store_id").cast("string").alias("store_id"),
@@ -129,12 +127,19 @@ def dim_store(
     return merge_columns(target, audited, ["store_id"], [*attributes, *UPDATED])
 
 
-def product_rows(staged: DataFrame, sales: DataFrame) -> DataFrame:
+def one_per_product(staged: DataFrame, loaded: str | None = None) -> DataFrame:
+    """One row per product: of several crawls the one with the greatest ``loaded``, then the greatest in all columns."""
+    rest = [c for c in staged.columns if c not in ("product_id", loaded)]
+    newest = F.max(F.struct(*([loaded] if loaded else []), *rest)).alias("_row")
+    return staged.groupBy("product_id").agg(newest).select("product_id", *[F.col(f"_row.{c}").alias(c) for c in rest])
+
+
+def product_rows(staged: DataFrame, sales: DataFrame, loaded: str | None = None) -> DataFrame:
     """Crawled products and products only known from sales, defaults filled in.
 
-    Sales without a product id add nothing; they point to the unknown member.
+    A product crawled several times gives one row. Sales without a product id add nothing; they point to the unknown member.
     """
-    cleaned = staged
+    cleaned = one_per_product(staged, loaded)
     for group in ("collection", "product_type", "category"):
         none = text.missing_id(f"{group}_id")
         cleaned = cleaned.withColumn(
@@ -158,8 +163,8 @@ def product_rows(staged: DataFrame, sales: DataFrame) -> DataFrame:
     )
 
 
-def dim_product(staged: DataFrame, sales: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    rows = product_rows(staged, sales)
+def dim_product(staged: DataFrame, sales: DataFrame, target: DataFrame | None = None, loaded: str | None = None) -> DataFrame:
+    rows = product_rows(staged, sales, loaded)
     if target is None:
         return with_audit(with_default_member(rows, PRODUCT_MEMBER))
     changes = changed_or_new(
@@ -169,15 +174,19 @@ def dim_product(staged: DataFrame, sales: DataFrame, target: DataFrame | None =
 
 
 def dim_customer_scd(intervals: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """Type-2 customers (M2). An upsert also closes versions that are no longer current."""
+    """Type-2 customers (M2).
+
+    With a target, ``intervals`` hold the whole history of every user in them.
+    These users' versions are replaced: a late event may move a start, and the
+    version it belonged to must not stay. Versions with the same key keep
+    ``created_*``; other users' versions stay as they are.
+    """
     rows = customer_scd(intervals.withColumnRenamed("group_user_email", "group_number"))
     if target is None:
         return with_scd_member(rows)
-    audited = with_carried_audit(rows, target, ["scd_customer_key"])
-    return merge_columns(
-        target, audited, ["scd_customer_key"],
-        ["email_address", "end_local_date", "end_local_datetime", "is_current", *UPDATED],
-    )
+    audited = with_carried_audit(rows, target, ["scd_customer_key"]).select(target.columns)
+    others = target.join(rows.select("user_id_db").distinct(), "user_id_db", "left_anti")
+    return audited.unionByName(others)
 
 
 def dim_customer_current(intervals: DataFrame, target: DataFrame | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import keys
@@ -9,7 +11,9 @@ from ..functions.audit import UPDATED, with_audit
 from ..operators.intervals import version_at
 from ..operators.joins import lookup_join
 from ..operators.rates import convert_lines, dense_rates
-from ..operators.upsert import changed_or_new, merge_columns, merge_touched, reprocess_late
+from ..operators.upsert import (
+    changed_or_new, in_partitions, late_floor, late_window, left_out, merge_columns, partition_values, replace_groups,
+)
 from ..session import materialize
 from ..sources.writers import write_partitioned
 
@@ -18,6 +22,7 @@ LINE_COLUMNS = [
     "user_id_db", "email_address", "product_id", "currency", "unit_price",
 ]
 MEASURES = ["local_unit_price", "usd_unit_price", "local_amount", "usd_amount"]
+DAY = "local_order_date"
 FACT_COLUMNS = [
     "sales_key", "order_id", "order_date_key", "local_order_date", "local_datetime",
     "scd_customer_key", "customer_key", "location_key", "store_key", "product_key",
@@ -98,7 +103,6 @@ def sales_rows(
     daily: DataFrame,
     ip_map: DataFrame,
     scd_dim: DataFrame,
-    product_dim: DataFrame,
     current_dim: DataFrame,
     currency_dim: DataFrame,
 ) -> DataFrame:
@@ -115,17 +119,15 @@ def sales_rows(
         folded, scd_dim, "user_id_db", "local_datetime", ["scd_customer_key"]
     )
     # an address loaded twice must not double sales; a known place wins over -1
-    places = ip_map.groupBy("ip_address").agg(F.max("location_key").alias("location_key"))
-    country_money = countries.select(
-        F.col("country_code_iso2").alias("country_code"),
-        F.col("currency_code").alias("country_currency"),
-    ).dropDuplicates(["country_code"])
+    places = materialize(ip_map.groupBy("ip_address").agg(F.max("location_key").alias("location_key")), "places")
+    country_money = countries.groupBy(F.col("country_code_iso2").alias("country_code")).agg(
+        F.min("currency_code").alias("country_currency")
+    )
     stores = store_dim.select("store_id", "store_key", "country_code").join(
         country_money, "country_code", "left"
     ).drop("country_code")
     for table, key in (
         (stores, "store_id"),
-        (product_dim.select("product_id", "product_key"), "product_id"),
         (places, "ip_address"),
         (current_dim.select("user_id_db", "customer_key"), "user_id_db"),
     ):
@@ -139,42 +141,73 @@ def sales_rows(
         "currency_key",
     ]
     return (
-        lines.withColumn("sales_key", line_key())
+        # every sold product is in the dimension, and its key is a function of its id
+        lines.withColumns({"sales_key": line_key(), "product_key": F.when(F.col("product_id").isNotNull(), keys.surrogate_key("product_id"))})
         .withColumns({k: keys.key_or_unknown(k) for k in foreign})
         .select(*FACT_COLUMNS)
     )
 
 
-def fact_sales_order_detail(rows: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def fact_sales_order_detail(
+    rows: DataFrame, target: DataFrame | None = None, days: int = 7, as_of: datetime.date | None = None
+) -> DataFrame:
     """The sales fact; with a target, the table after reprocessing the last seven days (M7).
 
+    Orders that arrive within the open window replace what the window holds of
+    them: a line's key holds its price, so a corrected line has another key.
+    Rows older than the window are not taken; :func:`late_rejects` returns them.
     For a table kept in date folders use :func:`upsert_sales` instead.
     """
     if target is None:
         return with_audit(rows)
-    changes = late_sales(rows, target)
-    return merge_columns(target, changes, ["sales_key"], [*MEASURES, "currency_key", *UPDATED])
+    floor = late_floor(target, DAY, days, as_of)
+    open_ = floor.isNull() | (F.col(DAY) >= floor)
+    fresh = late_sales(rows, target, days, as_of)
+    return target.where(~F.coalesce(open_, F.lit(False))).unionByName(
+        replace_groups(fresh, target.where(open_), "order_id", ["sales_key"])
+    )
 
 
-def late_sales(rows: DataFrame, target: DataFrame, days: int = 7) -> DataFrame:
-    """Rows to write: measures of matched lines replaced, new lines inserted."""
-    return reprocess_late(
-        rows, target, ["sales_key"], [*MEASURES, "currency_key"], "local_order_date", days
-    )
+def late_sales(rows: DataFrame, target: DataFrame, days: int = 7, as_of: datetime.date | None = None) -> DataFrame:
+    """Rows inside the open window."""
+    return late_window(rows, target, DAY, days, as_of)
+
+
+def late_rejects(rows: DataFrame, target: DataFrame, days: int = 7, as_of: datetime.date | None = None) -> DataFrame:
+    """Rows that came too late to be taken."""
+    return left_out(rows, target, DAY, days, as_of)
 
 
 def write_sales(fact: DataFrame, path: str) -> None:
     """The fact in date folders, sorted inside for pruning."""
-    write_partitioned(
-        fact, path, "local_order_date", ["order_date_key", "order_id", "scd_customer_key", "product_key"]
-    )
+    write_partitioned(fact, path, DAY, ["order_date_key", "order_id", "scd_customer_key", "product_key"])
 
 
-def upsert_sales(rows: DataFrame, path: str, days: int = 7) -> None:
-    """Upsert into the fact kept at ``path``, rewriting only the touched date folders (M7, M8)."""
-    target = rows.sparkSession.read.parquet(path)
-    changes = materialize(late_sales(rows, target, days), "late_sales")
-    merged = merge_touched(
-        target, changes, ["sales_key"], [*MEASURES, "currency_key", *UPDATED], "local_order_date"
-    )
-    write_sales(materialize(merged, "touched_sales"), path)
+def touched_days(fresh: DataFrame, target: DataFrame, floor: datetime.date | None) -> list:
+    """Days of the arriving rows, and of the window's old lines of the same orders. ``fresh``: a written table."""
+    window = target.where(F.col(DAY) >= F.lit(floor)) if floor else target
+    old = window.select("order_id", DAY).join(fresh.select("order_id").distinct(), "order_id", "left_semi")
+    return partition_values(old.select(DAY).union(fresh.select(DAY)), DAY)
+
+
+def upsert_sales(rows: DataFrame, path: str, days: int = 7, as_of: datetime.date | None = None) -> DataFrame:
+    """Upsert into the fact kept at ``path``, rewriting only the touched date folders (M7, M8).
+
+    Returns the rows that came too late. A day that loses all its lines, as their
+    order moved to another day, cannot be emptied by overwriting folders; then the
+    whole table is written anew.
+    """
+    spark = rows.sparkSession
+    target = spark.read.parquet(path)
+    first = spark.range(1).select(late_floor(target, DAY, days, as_of)).first()
+    floor = first[0] if first else None
+    rejects = materialize(late_rejects(rows, target, days, as_of), "late_rejects")
+    fresh = materialize(late_sales(rows, target, days, as_of), "late_sales")
+    days_touched = touched_days(fresh, target, floor)
+    merged = materialize(replace_groups(fresh, in_partitions(target, DAY, days_touched), "order_id", ["sales_key"]), "touched_sales")
+    if set(days_touched) - set(partition_values(merged, DAY)):
+        whole = materialize(fact_sales_order_detail(fresh, target, days, as_of), "whole_sales")
+        write_partitioned(whole, path, DAY, ["order_date_key", "order_id"], replace_all=True)
+    else:
+        write_sales(merged, path)
+    return rejects

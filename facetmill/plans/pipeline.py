@@ -94,7 +94,6 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
             facts.daily_rates(t["fact_snapshot_exchange_rate"], t["dim_currency"]),
             t["stg_ip_location_mapping"],
             known_versions,
-            t["dim_product"],
             t["dim_customer_current"],
             t["dim_currency"],
         )

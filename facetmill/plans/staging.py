@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import dates, keys, prices, text, urls
+from ..functions.money import times
 from ..operators.intervals import change_intervals
 from ..operators.normalize import with_event_types
 from ..operators.scans import global_row_number
@@ -55,13 +56,17 @@ def stg_sales_order_detail(
 def rejected_lines(events: DataFrame, strict_decimal_comma: bool = False) -> DataFrame:
     """Cart items that cannot be used as they are, with the reason.
 
-    A price or a time that cannot be read, or an order id without leading digits.
+    A price or a time that cannot be read, an order id without leading digits, or an
+    amount too large to be converted. A line with an unreadable price stays in the
+    facts with an amount of zero, one with too large an amount with a NULL amount.
     """
+    price = prices.parse_price("item.price", strict_decimal_comma)
     bad_time = text.has_text("local_time") & dates.local_datetime("local_time").isNull()
     reason = (
         F.when(prices.leading_digits("order_id").isNull(), "order_id")
         .when(bad_time, "local_time")
         .when(prices.is_price_reject("item.price", strict_decimal_comma), "price")
+        .when(F.col("item.amount").isNotNull() & price.isNotNull() & times("item.amount", price).isNull(), "amount")
     )
     return checkout_lines(events).withColumn("reason", reason).where("reason is not null")
 

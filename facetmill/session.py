@@ -8,8 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "facetmill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution on, UTC time and the UI off."""
+def build_session(
+    app: str = "facetmill", master: str | None = None, input_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """A session with adaptive execution on, UTC time and the UI off.
+
+    ``input_gb``: size of the largest input. Shuffles start with a partition per
+    128 MB of it; adaptive execution can merge small ones, but does not cut large ones.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -24,6 +30,8 @@ def build_session(app: str = "facetmill", master: str | None = None, **conf: str
     )
     if master:
         builder = builder.master(master)
+    if input_gb:
+        builder = builder.config("spark.sql.shuffle.partitions", str(max(200, round(8 * input_gb))))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -9,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import utc_from_epoch
 from ..operators.upsert import merge_columns, merge_touched, reprocess_late
+from ..session import materialize
 
 
 def arriving_json(
@@ -38,15 +40,18 @@ def suppress_copies(
     key: Sequence[str],
     epoch: str = "time_stamp",
     delay: str = "7 days",
-    salts: int = 16,
+    salts: int = 1,
 ) -> DataFrame:
     """Drop re-delivered events that arrive within ``delay`` of the first copy.
 
-    Two passes: the first removes copies within each of ``salts`` random
-    shares, so that one event with very many copies is worked off by several
-    tasks; at most ``salts`` copies reach the second pass. State is forgotten
-    once the watermark has passed, so it does not grow with the stream.
+    State is forgotten once the watermark has passed, so it does not grow with the
+    stream. With ``salts`` above 1, for streams in which one event arrives in
+    millions of copies, a first pass removes copies within random shares; it holds
+    every key a second time.
     """
+    if salts <= 1:
+        timed = stream.withColumn("utc_timestamp", utc_from_epoch(epoch)).withWatermark("utc_timestamp", delay)
+        return timed.dropDuplicatesWithinWatermark(list(key))
     return (
         stream.withColumn("utc_timestamp", utc_from_epoch(epoch))
         .withWatermark("utc_timestamp", delay)
@@ -77,6 +82,7 @@ def late_upsert(
     date_column: str,
     days: int = 7,
     touched_only: bool = False,
+    as_of: datetime.date | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A batch handler that upserts rows inside the late window (T2 with M7).
 
@@ -85,12 +91,17 @@ def late_upsert(
 
     ``read_target`` gives the table as of the last finished batch,
     ``write_target`` stores the new version. Handling a batch twice gives the
-    same table, which is what a restart after a lost driver does.
+    same table, which is what a restart after a lost driver does. Of several rows with one
+    key in a batch the greatest counts, by date and then by all columns: a
+    redelivered row must not stop the stream. A batch's changes are computed once.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         target = read_target()
-        changes = reprocess_late(batch, target, keys, measures, date_column, days)
+        rest = [c for c in batch.columns if c not in keys and c != date_column]
+        newest = F.max(F.struct(date_column, *rest)).alias("_row")
+        latest = batch.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(batch.columns)
+        changes = materialize(reprocess_late(latest, target, keys, measures, date_column, days, as_of), "late_batch")
         if touched_only:
             merged = merge_touched(target, changes, keys, measures, date_column)
         else:

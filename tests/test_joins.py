@@ -56,9 +56,9 @@ def test_lookup_join_gives_the_same_rows_by_broadcast_and_by_spreading(spark, ro
     right = spark.createDataFrame([("hot", 1), ("a", 2), ("b", 3), ("unused", 4)], "k string, v int")
     plain = rows(left.join(right, "k", "left").select("id", "k", "v"))
     small = joins.lookup_join(left, right, ["k"], ["id"])
-    spread = joins.lookup_join(left, right, ["k"], ["id"], max_rows=0, hot_rows=100, salts=8)
+    spread = joins.lookup_join(left, right, ["k"], ["id"], max_rows=0, hot_rows=100)
     assert rows(small.select("id", "k", "v")) == plain == rows(spread.select("id", "k", "v"))
-    counted = joins.spread_left_join(left, right, ["k"], ["id"], 100, 8, counted=left.select("k"))
+    counted = joins.spread_left_join(left, right, ["k"], ["id"], 100, counted=left.select("k"))
     assert rows(counted.select("id", "k", "v")) == plain
 
 
