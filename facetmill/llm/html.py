@@ -259,7 +259,7 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
     if fits_broadcast(found, BROADCAST_HOSTS):
         joined = parsed.join(F.broadcast(found), "_host", "left")
     else:
-        joined = spread_left_join(parsed, found, ["_host"], ["_row"])
+        joined = spread_left_join(parsed, found, ["_host"], ["_row"], counted=parsed)
     none = F.array().cast("array<bigint>")
     kept = F.filter("_blocks", lambda b: ~F.arrays_overlap(b["codes"], F.coalesce("template", none)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
