@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import datetime
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.dates import local_datetime
 from ..functions.keys import UNKNOWN_KEY
 from ..functions.urls import StoreUrlRules
 from ..session import materialize
+from ..sources.writers import write_clustered, write_partitioned
 from . import dims, facts, mart, staging
 
 
+#: One type and day of the log is written by up to so many tasks.
+LANDING_PARTS = 64
+
+
 @dataclass(frozen=True)
 class Sources:
     """Inputs of a build. ``events`` feeds sales, ``visits`` the histories.
@@ -32,9 +39,53 @@ class Sources:
     url_rules: StoreUrlRules
 
 
-def build_core(src: Sources) -> dict[str, DataFrame]:
+#: How the kept tables are laid out: the date folders of the facts, the sort columns of the dimensions.
+DATE_FOLDERS = {"fact_sales_order_detail": "local_order_date", "fact_snapshot_exchange_rate": "full_date"}
+SORTED_BY = {
+    "dim_product": ["product_id"], "dim_store": ["store_id"], "dim_location": ["country_code", "region", "city"],
+    "dim_customer_scd": ["user_id_db", "start_local_datetime"], "dim_customer_current": ["user_id_db"],
+    "dim_currency": ["currency_code"], "dim_date": ["full_date"],
+}
+
+
+def land_events(events: DataFrame, path: str) -> DataFrame:
+    """Append raw events to the event table at ``path`` and read all of it.
+
+    The log is parsed once, here. Later steps read Parquet with the columns they
+    need and, as folders go by event type and day, the types they need. Events
+    without a readable local time land in the folder of no day.
+    """
+    day = F.to_date(local_datetime("local_time"))
+    events.withColumn("landed_day", day).repartition("collection", "landed_day", F.pmod(F.xxhash64("_id"), F.lit(LANDING_PARTS))).write.mode(
+        "append"
+    ).partitionBy("collection", "landed_day").parquet(path)
+    return events.sparkSession.read.parquet(path)
+
+
+def write_core(tables: dict[str, DataFrame], folder: str) -> None:
+    """Keep dimensions and facts below ``folder`` in their declared layouts (S12, S13), for the next run."""
+    for name, df in tables.items():
+        if name in DATE_FOLDERS:
+            write_partitioned(df, f"{folder}/{name}", DATE_FOLDERS[name], replace_all=True)
+        elif name in SORTED_BY:
+            write_clustered(df, f"{folder}/{name}", SORTED_BY[name])
+
+
+def read_core(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables that :func:`write_core` kept."""
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in (*DATE_FOLDERS, *SORTED_BY)}
+
+
+def build_core(
+    src: Sources, existing: dict[str, DataFrame] | None = None, as_of: datetime.date | None = None
+) -> dict[str, DataFrame]:
     """Staging, dimensions and facts, each shared table written once.
 
+    With ``existing`` (the tables of the run before, as :func:`read_core` gives
+    them) the dimensions and the rate fact are upserted, and of the sales only
+    lines inside the open week before ``as_of`` are resolved again. ``src`` then
+    holds the whole event table: histories are rebuilt from all of a user's events.
+
     Tables read by more than one later step are written to the shared folder:
     nothing is computed twice, a lost executor costs one step at most, and
     lookups see exact sizes. The branches for sales, customers and places do
@@ -42,6 +93,7 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
     tail of one branch does not leave the cluster idle.
     """
     t: dict[str, DataFrame] = {}
+    old = existing or {}
 
     def table(name: str, df: DataFrame) -> None:
         t[name] = materialize(df, name)
@@ -51,13 +103,13 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
         table("order_lines", facts.summed_lines(t["stg_sales_order_detail"]))
         table(
             "dim_product",
-            dims.dim_product(staging.stg_product(src.products), t["stg_sales_order_detail"]),
+            dims.dim_product(staging.stg_product(src.products), t["stg_sales_order_detail"], old.get("dim_product")),
         )
 
     def customers() -> None:
         table("stg_user_email", staging.stg_user_email_by_local_datetime(src.visits))
-        table("dim_customer_scd", dims.dim_customer_scd(t["stg_user_email"]))
-        table("dim_customer_current", dims.dim_customer_current(t["stg_user_email"]))
+        table("dim_customer_scd", dims.dim_customer_scd(t["stg_user_email"], old.get("dim_customer_scd")))
+        table("dim_customer_current", dims.dim_customer_current(t["stg_user_email"], old.get("dim_customer_current")))
 
     def places() -> None:
         table("stg_ip_location_mapping", staging.stg_ip_location_mapping(src.ip_locations))
@@ -68,15 +120,17 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
                 staging.stg_store_url_info(src.visits, src.url_rules),
                 src.countries,
                 src.url_rules.local_host,
+                old.get("dim_store"),
             ),
         )
 
     def money() -> None:
-        table("dim_date", dims.dim_date(src.calendar))
+        days = dims.dim_date(src.calendar, old.get("dim_date"))
+        table("dim_date", old["dim_date"].unionByName(days) if old else days)
         table("dim_currency", dims.dim_currency(src.currencies))
         table(
             "fact_snapshot_exchange_rate",
-            facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], src.rates),
+            facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], src.rates, old.get("fact_snapshot_exchange_rate")),
         )
 
     inherit = inheritable_thread_target(src.events.sparkSession)
@@ -86,9 +140,13 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
             done.result()
 
     known_versions = t["dim_customer_scd"].where(F.col("scd_customer_key") != UNKNOWN_KEY)
+    known = old.get("fact_sales_order_detail")
+    lines = t["order_lines"]
+    if known is not None:
+        lines = materialize(facts.late_sales(lines, known, as_of=as_of), "late_lines")
     t["fact_sales_order_detail"] = facts.fact_sales_order_detail(
         facts.sales_rows(
-            t["order_lines"],
+            lines,
             t["dim_store"],
             src.countries,
             facts.daily_rates(t["fact_snapshot_exchange_rate"], t["dim_currency"]),
@@ -96,14 +154,18 @@ def build_core(src: Sources) -> dict[str, DataFrame]:
             known_versions,
             t["dim_customer_current"],
             t["dim_currency"],
-        )
+        ),
+        known,
+        as_of=as_of,
     )
     return t
 
 
-def build_mart(src: Sources) -> dict[str, DataFrame]:
+def build_mart(
+    src: Sources, existing: dict[str, DataFrame] | None = None, as_of: datetime.date | None = None
+) -> dict[str, DataFrame]:
     """Core tables plus the flat report table. The fact is written first."""
-    t = build_core(src)
+    t = build_core(src, existing, as_of)
     t["fact_sales_order_detail"] = materialize(t["fact_sales_order_detail"], "fact_sales_order_detail")
     t["mart_sales_report"] = mart.mart_sales_report(
         t["fact_sales_order_detail"], t["dim_date"], t["dim_product"], t["dim_store"],

@@ -188,3 +188,15 @@ def test_rate_list_is_sorted_and_limited_to_listed_codes(spark):
     codes = spark.createDataFrame([("EUR",), ("CHF ",), (None,)], "currency_code string")
     got = [(r.from_currency_code, r.date_key) for r in lists.exchange_rate_table(payloads, codes).collect()]
     assert got == [("CHF", 20190101), ("CHF", 20190102), ("EUR", 20190101), ("EUR", 20190102)]
+
+
+def test_landed_events_are_read_from_the_table_only(spark, src, tmp_path):
+    path = str(tmp_path / "events")
+    landed = pipeline.land_events(src.events, path)
+    assert landed.count() == src.events.count()
+    lines = staging.stg_sales_order_detail(landed)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan json" not in plan and "from_json" not in plan
+    assert sorted(map(str, lines.collect())) == sorted(map(str, staging.stg_sales_order_detail(src.events).collect()))
+    folders = {f.parent.parent.name for f in (tmp_path / "events").rglob("*.parquet")}
+    assert folders == {"collection=view_product_detail", "collection=checkout_success"}
