@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.audit import without_audit
 from ..operators import joins
-from ..plans import dims, facts, lists, pipeline, staging
+from ..plans import checks, dims, facts, lists, pipeline, staging
 from ..plans import testdata as td
 from ..session import materialize, new_folder
 from . import fragments as q
@@ -240,6 +240,28 @@ def mart_sales(spark, folder):
     return pipeline.build_mart(td.sources(spark, folder))["mart_sales_report"]
 
 
+def _checks_sql() -> str:
+    """Every declared check, over the SQL of the table it concerns."""
+    source = {name: SQL[name] for name in checks.CHECKS if name in SQL} | {
+        "fact_snapshot_exchange_rate": SQL["fact_exchange_rate"], "fact_sales_order_detail": SQL["fact_sales"], "mart_sales_report": SQL["mart_sales"],
+    }
+    parts = []
+    for name, c in checks.CHECKS.items():
+        keys = [[u] for u in c.unique] + c.combinations
+        names = [f"'not_null:{x}'" for x in c.not_null] + [f"'unique:{','.join(k)}'" for k in keys]
+        counts = [f"(SELECT count(*) FROM t WHERE {x} IS NULL)" for x in c.not_null]
+        counts += [f"(SELECT count(*) FROM (SELECT 1 FROM t WHERE {k[0]} IS NOT NULL GROUP BY {', '.join(k)} HAVING count(*) > 1))" for k in keys]
+        parts.append(f"SELECT * FROM (WITH t AS MATERIALIZED ({source[name]}) SELECT '{name}' AS table_name, unnest([{', '.join(names)}]) AS check_name, unnest([{', '.join(counts)}]) AS violations)")
+    return " UNION ALL ".join(parts)
+
+
+@query(_checks_sql())
+def dq_models(spark, folder):
+    """Q1 to Q3: the declared checks of all ten outputs, on the built tables."""
+    built = pipeline.build_mart(td.sources(spark, folder))
+    return checks.check_tables(built | {"mart_sales_report": materialize(built["mart_sales_report"], "mart")})
+
+
 CUTOFF = "1998-06-01"
 
 
