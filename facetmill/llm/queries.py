@@ -62,5 +62,7 @@ SQL: dict[str, str] = {
     "op1_url_filters": sql.url_filters(),
     "op2_mixing": sql.mixture(),
     "op3_topk": sql.nearest(),
+    "op7_substrings": sql.repeats(),
+    "op8_jaccard": sql.groups(),
     "op10_quality_rules": sql.quality_rules(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import mixing, quality, topk, urls
+from . import jaccard, mixing, quality, substrings, topk, urls
 
 
 def url_filters() -> str:
@@ -106,3 +106,33 @@ def nearest() -> str:
       FROM whole q JOIN whole c ON q.vec_id % {topk.QUERY_STEP} = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
       (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= {topk.K}"""
+
+
+def repeats() -> str:
+    k = substrings.WINDOW
+    return f"""WITH split AS (SELECT doc_id, {WORDS} AS words FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(words[i:i + {k - 1}], ' ') AS g
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - {k - 2})) AS i FROM split)),
+    repeated AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, i + j AS i FROM repeated, (SELECT unnest(range(0, {k})) AS j)),
+    kept AS (SELECT w.doc_id, count(*) AS n, string_agg(w.word, ' ' ORDER BY w.i) AS text
+      FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split) w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i
+      GROUP BY w.doc_id)
+    SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+      FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id"""
+
+
+def groups() -> str:
+    k, percent = jaccard.WORDS, jaccard.PERCENT
+    lowered = WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    return f"""WITH RECURSIVE split AS (SELECT doc_id, {lowered} AS words FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, g FROM (
+      SELECT doc_id, array_to_string(words[i:i + {k - 1}], ' ') AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - {k - 2})) AS i FROM split WHERE len(words) >= {k})
+      UNION ALL SELECT doc_id, array_to_string(words, ' ') FROM split WHERE len(words) BETWEEN 1 AND {k - 1})),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o.n >= {percent} * (x.n + y.n - o.n)),
+    reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+    SELECT s.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(l.b, s.doc_id)) AS component_id
+      FROM split s LEFT JOIN sizes z ON z.doc_id = s.doc_id LEFT JOIN least l ON l.a = s.doc_id"""
