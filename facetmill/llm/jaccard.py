@@ -47,8 +47,8 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """One bit per hash, in the least power of two over the size, 64 bits at least. Halves can be or-ed to a smaller map."""
-    bits = max(64, 1 << int(len(hashes)).bit_length())
+    """One bit per hash, in a power of two of four to eight bits per hash. Halves can be or-ed to a smaller map."""
+    bits = max(64, 4 << int(len(hashes)).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(hashes & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -107,14 +107,15 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> DataFrame:
-    """(large, x, y): pairs x < y of classes in small buckets, or (token, class) of large ones. ``index``: token, rep, n, by token."""
+    """(large, x, y, n): pairs x < y of classes in small buckets, or (token, class, its size) of large ones. ``index``: token, rep, n, by token."""
 
     def run(batches: Batches) -> Batches:
         token, rep, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         large = None  # token of a bucket already found large
 
-        def out(kind: bool, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind)), pa.array(x), pa.array(y)], names=["large", "x", "y"])
+        def out(kind: bool, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
+            n = np.zeros(len(x), np.int64) if n is None else n
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind)), pa.array(x), pa.array(y), pa.array(n)], names=["large", "x", "y", "n"])
 
         def work(token, rep, n, last: bool):
             """Rows of complete buckets; returns what is emitted and where the unfinished bucket begins."""
@@ -128,7 +129,7 @@ def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> D
             start = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1]))) if end else np.zeros(0, np.int64)
             size = np.repeat(np.diff(np.append(start, end)), np.diff(np.append(start, end)))
             big = (size > small) | (t == large if large is not None else False)
-            emitted = [out(True, t[big], r[big])]
+            emitted = [out(True, t[big], r[big], m[big])]
             a, b = [], []
             for d in range(1, small):
                 hit = np.flatnonzero((t[d:] == t[:-d]) & ~big[d:] & _fits(m[d:], m[:-d], percent) & (r[d:] != r[:-d]))
@@ -153,7 +154,7 @@ def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> D
         if len(token):
             yield from work(token, rep, n, True)[0]
 
-    return map_batches(index, run, "large boolean, x long, y long")
+    return map_batches(index, run, "large boolean, x long, y long, n long")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -202,11 +203,14 @@ def linked(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: i
     return map_batches(rows, run, "a long, b long").distinct()
 
 
-def _tiles(large: DataFrame, classes: DataFrame, labels: DataFrame, tile_rows: int) -> DataFrame:
-    """Members of large buckets that hold several components, once for each tile of pairs they take part in."""
-    members = large.select(F.col("x").alias("token"), F.col("y").alias("rep"))
+def _tiles(large: DataFrame, labels: DataFrame, tile_rows: int) -> DataFrame:
+    """Members of large buckets that hold several components, once for each tile of pairs they take part in.
+
+    Tile (low, i, j) holds the pairs of part i of band ``low`` with part j of the same band (if i <= j) and of the next band.
+    """
+    members = large.select(F.col("x").alias("token"), F.col("y").alias("rep"), "n")
     members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    members = members.join(classes.select("rep", "n"), "rep").withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
+    members = members.withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
     members = materialize(members, "members")
     counts = members.groupBy("token", "band").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("l"), F.max("label").alias("h"))
     open_ = (
@@ -214,18 +218,16 @@ def _tiles(large: DataFrame, classes: DataFrame, labels: DataFrame, tile_rows: i
         .select("token", F.ceil(F.col("c") / tile_rows).cast("int").alias("tiles"))
     )
     rows = members.join(materialize(open_, "open"), "token")
-    own = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
-    rows = rows.withColumn("tile", own)
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    tile, every = F.col("tile"), F.sequence(F.lit(0), F.col("tiles") - 1)
 
-    def keys(low: Column, step: int, first: Column, second: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda s: F.struct(
-            low.alias("low"), F.lit(step).alias("step"), first(s).alias("i"), second(s).alias("j")))
+    def place(low: Column, i: Column, j: Column) -> Column:
+        return F.struct(low.alias("low"), i.alias("i"), j.alias("j"))
 
-    tile = F.col("tile")
     places = F.concat(
-        keys(F.col("band"), 0, lambda s: F.least(tile, s), lambda s: F.greatest(tile, s)),
-        keys(F.col("band"), 1, lambda s: tile, lambda s: s),
-        keys(F.col("band") - 1, 1, lambda s: s, lambda s: tile),
+        F.transform(every, lambda s: place(F.col("band"), tile, s)),
+        F.transform(F.filter(every, lambda s: s < tile), lambda s: place(F.col("band"), s, tile)),
+        F.transform(every, lambda s: place(F.col("band") - 1, s, tile)),
     )
     return rows.withColumn("at", F.explode(places)).select("token", "rep", "n", "label", "band", "tile", "at.*")
 
@@ -233,16 +235,17 @@ def _tiles(large: DataFrame, classes: DataFrame, labels: DataFrame, tile_rows: i
 def tile_pairs(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components within a tile whose bitmaps leave the overlap possible."""
     rows = tiles.join(classes.select("rep", "bits"), "rep")
-    key = ["token", "low", "step", "i", "j"]
+    key = ["token", "low", "i", "j"]
     rows = rows.repartition(*key).sortWithinPartitions(*key)
 
     def compare(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        first = {c: t[c][0].as_py() for c in ("low", "step", "i", "j")}
+        low, one, two = (t[c][0].as_py() for c in ("low", "i", "j"))
         rep, n, label, band, tile = (t[c].to_numpy() for c in ("rep", "n", "label", "band", "tile"))
-        left = np.flatnonzero((band == first["low"]) & (tile == first["i"]))
-        right = np.flatnonzero((band == first["low"] + first["step"]) & (tile == first["j"]))
+        left = np.flatnonzero((band == low) & (tile == one))
+        same = np.flatnonzero((band == low) & (tile == two)) if one < two else np.zeros(0, np.int64)
+        right = np.concatenate((same, np.flatnonzero((band == low + 1) & (tile == two))))
         none = np.zeros(0, np.int64)
-        if not len(left) or not len(right):
+        if not len(left):
             return none, none
         maps = [np.frombuffer(x, np.uint64) for x in t["bits"].to_pylist()]
         words = min(map(len, maps))
@@ -250,7 +253,7 @@ def tile_pairs(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         n = n.astype(np.int64)
         a, b = [none], [none]
         for at, i in enumerate(left):
-            others = right[at + 1:] if first["step"] == 0 and first["i"] == first["j"] else right
+            others = np.concatenate((left[at + 1:], right)) if one == two else right
             others = others[(label[others] != label[i]) & _fits(n[others], n[i], percent)]
             if len(others):
                 more = np.bitwise_count(maps[i] & ~maps[others]).sum(axis=1, dtype=np.int64)
@@ -300,18 +303,21 @@ def group(
     named = sets.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     reps = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     classes = named.join(reps.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi").withColumnRenamed("doc_id", "rep")
-    classes = classes.dropDuplicates(["rep", "digest"])
+    if not named.groupBy("doc_id", "digest").count().filter("count > 1").isEmpty():
+        classes = classes.dropDuplicates(["rep", "digest"])
+    classes = materialize(classes.select("rep", "n", "prefix", "bits"), "sets")
     index = classes.select(F.explode("prefix").alias("token"), "rep", F.col("n").cast("long").alias("n"))
     index = index.repartition("token").sortWithinPartitions("token")
     found = materialize(bucket_pairs(index, percent, small_bucket), "buckets")
     large = found.filter("large")
-    least = large.groupBy("x").agg(F.min("y").alias("least"))
-    stars = large.join(least, "x").filter("y <> least").select(F.col("least").alias("a"), F.col("y").alias("b"))
+    least = large.groupBy("x").agg(F.min(F.struct("y", "n")).alias("least"))
+    fits = F.lit(100) * F.least("n", "least.n") >= F.lit(percent) * F.greatest("n", "least.n")
+    stars = large.join(least, "x").filter((F.col("y") != F.col("least.y")) & fits).select(F.col("least.y").alias("a"), F.col("y").alias("b"))
     pairs = found.filter("not large").select(F.col("x").alias("a"), F.col("y").alias("b")).union(stars)
     links = materialize(linked(materialize(likely(pairs, classes, percent), "likely"), docs, doc_id, text, percent, words), "links")
     labels = components(links)
     if not large.isEmpty():
-        more = likely(tile_pairs(_tiles(large, classes, labels, tile_rows), classes, percent), classes, percent)
+        more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent)
         more = materialize(linked(materialize(more, "likely"), docs, doc_id, text, percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
