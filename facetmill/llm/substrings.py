@@ -6,6 +6,8 @@ anchor, so equal windows have equal anchors (winnowing), and neighbouring window
 1. Seeds: anchors that occur once in the corpus cannot lie in a repeat. The others are told to their documents.
 2. Extension: around each such anchor, the document's windows to the left and right that hang on it are compared with those of
    the anchor's other occurrences, in corpus order. All but the first occurrence of a window are repeats.
+   Each task first compares the occurrences it has before it: of a passage that a third of all documents share, hardly one
+   occurrence per task goes on to where the anchor's occurrences meet.
 3. Runs of repeated windows join into maximal repeats, whose words are removed.
 
 Texts travel once, by document id, for steps 2 and 3 together; windows of unique text never do.
@@ -19,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .words import Words, text_slices
+from .words import Words, mix, text_slices
 from .workers import Batches, bounded, map_batches
 
 WINDOW = 20
@@ -49,6 +51,24 @@ def _group_hashes(split: Words, at: np.ndarray, group: int) -> np.ndarray:
     return split.spans(split.hashes(), at, group).view(np.int64)
 
 
+def _earlier(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which windows have an equal one before them in corpus order, where the first of each distinct window is)."""
+    if not len(hashes):
+        return np.zeros(0, bool), np.zeros(0, np.int64)
+    order = np.lexsort((places, ids, hashes))
+    new = np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))
+    first = order[new]
+    back = np.empty(len(hashes), np.int64)
+    back[order] = np.cumsum(new) - 1
+    own = first[back]
+    return (ids[own] < ids) | ((ids[own] == ids) & (places[own] < places)), first
+
+
+def _bits(row: np.ndarray, step: np.ndarray, hit: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows, a bit per window ``step`` that is hit."""
+    return np.bincount(row, hit * (1 << step), n).astype(np.int64)
+
+
 def _runs(key: np.ndarray) -> np.ndarray:
     """Where a new value begins, and the end."""
     return np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key)) if len(key) else np.zeros(1, np.int64)
@@ -97,7 +117,10 @@ def _repeated(seeds: DataFrame) -> DataFrame:
 
 
 def _extensions(texts: DataFrame, repeated: DataFrame, window: int, group: int) -> DataFrame:
-    """(anchor, id, print, start, hashes): the windows that hang on each occurrence of a repeated anchor, from word ``start`` on."""
+    """(anchor, id, print, start, known, hashes): the windows that hang on each occurrence of a repeated anchor, from word ``start`` on.
+
+    ``known``: those that this task has seen before in corpus order. Without others, the hashes are left out.
+    """
     told = repeated.groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
     rows = texts.join(told, "id").select("id", "row", "print", "text", "anchors")  # all columns: the same exchange as in the last join
 
@@ -119,15 +142,25 @@ def _extensions(texts: DataFrame, repeated: DataFrame, window: int, group: int)
                         own = slice(bounds[r], bounds[r + 1])
                         wanted[own] = np.isin(anchor[own], told[low + r])
                     picked = np.flatnonzero(wanted)
+                    counts = np.diff(cuts)[picked]
+                    which = np.repeat(np.arange(len(picked)), counts)
+                    step = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+                    at_window = begin[picked][which] + step
+                    start = (first[begin] - split.first[row])[picked]
+                    own, own_prints = ids[low + row[picked]], prints[low + row[picked]]
+                    known, _ = _earlier(hashes[at_window], own[which], start[which] + step)
+                    left = np.bincount(which, ~known, len(picked)) > 0
                     data = hashes.tobytes()
+                    # Nothing is left to compare of a row whose windows are all known: it may go anywhere.
+                    key = np.where(left, anchor[picked], mix(own.view(np.uint64) + start.astype(np.uint64)).view(np.int64))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor[picked]), pa.array(ids[low + row[picked]]), pa.array(prints[low + row[picked]]),
-                         pa.array((first[begin] - split.first[row])[picked].astype(np.int32)),
-                         pa.array([data[8 * cuts[i]:8 * cuts[i + 1]] for i in picked], pa.binary())],
-                        names=["anchor", "id", "print", "start", "hashes"],
+                        [pa.array(key), pa.array(own), pa.array(own_prints), pa.array(start.astype(np.int32)),
+                         pa.array(_bits(which, step, known, len(picked)).astype(np.int32)),
+                         pa.array([data[8 * cuts[i]:8 * cuts[i + 1]] if more else b"" for i, more in zip(picked, left)], pa.binary())],
+                        names=["anchor", "id", "print", "start", "known", "hashes"],
                     )
 
-    return map_batches(rows, run, "anchor long, id long, print long, start int, hashes binary")
+    return map_batches(rows, run, "anchor long, id long, print long, start int, known int, hashes binary")
 
 
 def _repeats(extensions: DataFrame) -> DataFrame:
@@ -151,13 +184,8 @@ def _repeats(extensions: DataFrame) -> DataFrame:
                 seen, seen_id, seen_place = held[1:] if held[0] == anchor[0] else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
                 every = np.concatenate((seen, hashes))
                 every_id, every_place = np.concatenate((seen_id, ids[row])), np.concatenate((seen_place, place))
-                distinct, index, back = np.unique(every, return_index=True, return_inverse=True)
-                # Equal hashes keep their order, but within a document an anchor's windows may overlap: take the least place.
-                order = np.lexsort((every_place, every_id, back))
-                index = order[np.concatenate(([True], back[order][1:] != back[order][:-1]))] if len(order) else index
-                earlier = (every_id[index][back] < every_id) | ((every_id[index][back] == every_id) & (every_place[index][back] < every_place))
-                earlier = earlier[len(seen):]
-                bits = np.bincount(row, earlier * (1 << step), len(parts)).astype(np.int64)
+                earlier, index = _earlier(every, every_id, every_place)
+                bits = _bits(row, step, earlier[len(seen):], len(parts)) | batch["known"].to_numpy()
                 hit = np.flatnonzero(bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[hit]), pa.array(prints[hit]), pa.array(start[hit]), pa.array(bits[hit].astype(np.int32))], names=["id", "print", "start", "bits"]
