@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.joins import fits_broadcast
 from ..session import materialize
 from .components import components
 from .words import text_slices
@@ -26,6 +27,7 @@ WORDS = 5
 PERCENT = 80
 SMALL_BUCKET = 24
 TILE = 1024
+BROADCAST_IDS = 500_000
 BAND = 1.26  # sizes of linked sets differ by less than one band and a bit
 SLICE = 1 << 20
 
@@ -69,6 +71,11 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n // 100) + 1
 
 
+def small(ids: DataFrame) -> DataFrame:
+    """A written column of ids, to be broadcast if it has no more than ``BROADCAST_IDS`` rows, so that the texts need not move for it."""
+    return F.broadcast(ids) if fits_broadcast(ids, BROADCAST_IDS) else ids
+
+
 def set_table(docs: DataFrame, doc_id: str, text: str, percent: int, words: int) -> DataFrame:
     """(doc_id, n, digest, prefix, bits) of every row. Sets without shingles have a null digest."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -181,7 +188,7 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def linked(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int, words: int) -> DataFrame:
     """The pairs whose sets are similar enough, by exact intersection. Only documents of candidate pairs are read again."""
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidates")
-    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(ids, "id", "left_semi")
+    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(small(ids), "id", "left_semi")
     side = lambda k: texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}"))
     rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
 
@@ -336,8 +343,8 @@ def digest(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", **names) -> DataFrame:
     """The rows of ``docs`` without those linked to a document of smaller id. Rows that repeat an id count once; columns unchanged."""
     grouped = materialize(group(docs, doc_id, **names), "groups")
-    gone = grouped.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
+    gone = materialize(grouped.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    kept = docs.join(small(gone), F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
     twice = grouped.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     if twice.isEmpty():
         return kept
