@@ -212,14 +212,15 @@ converted AS (
     {usd_nano('product_qty * local_unit_price', 'd.rate')} AS usd_nano
   FROM priced p LEFT JOIN dense d ON p.order_date_key = d.date_key AND p.currency_code = d.code)"""
 
-_LINE_KEY = ", ".join(
-    f"coalesce(CAST(c.{c} AS VARCHAR), '')"
-    for c in (
-        "order_id", "local_datetime", "local_order_date", "order_date_key", "store_id", "ip_address",
-        "user_id_db", "email_address", "product_id", "currency", "unit_price",
-    )
-).split(", coalesce")
-LINE_KEY = key(*[_LINE_KEY[0], *["coalesce" + p for p in _LINE_KEY[1:]]])
+LINE_KEY = key(
+    *[
+        f"coalesce(CAST(c.{c} AS VARCHAR), '')"
+        for c in (
+            "order_id", "local_datetime", "local_order_date", "order_date_key", "store_id", "ip_address",
+            "user_id_db", "email_address", "product_id", "currency", "unit_price",
+        )
+    ]
+)
 
 FACT = f"""{CONVERTED}, {intervals(BUYING)}, {LOCATED}, {PRODUCTS},
 fact AS (

@@ -166,7 +166,7 @@ def embedded_payload(
     """Pull the JSON object assigned to ``marker`` out of a page's script.
 
     Adds ``status`` and ``payload``. The status names the first step that
-    failed. The whole page is searched.
+    failed. The whole page is searched. Marker and assignment are fixed by the pages.
     """
     assignment = rf"{marker}\s*[:=]"
     bodies = F.regexp_extract_all(
