@@ -30,14 +30,14 @@ BROADCAST_HOSTS = 100_000
 #: Fixed names of the markup language.
 RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "textarea", "title", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-FURNITURE = {"nav", "header", "footer", "aside", "form", "head", "button", "select", "dialog", "menu", "label", "fieldset", "input"} | RAW
+FURNITURE = {"nav", "header", "footer", "aside", "head", "button", "select", "dialog", "menu", "label", "fieldset", "input"} | RAW
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark",
     "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 #: Elements that an opening tag of the key ends, if they are open.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Words in a class or id, or values of a role, that mark furniture.
+#: Words in a class or id that may mark furniture, and values of a role that do.
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
     r"newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|widget|comments?|disqus|respond|replies|toolbar|skip|pagination|pager|legal|copyright)(?:$|[\s_-])",
@@ -45,6 +45,10 @@ MARKED = re.compile(
 )
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "form"}
 MAIN_ROLE = {"main", "article"}
+#: Class of an article element that is a reader's comment.
+COMMENT = re.compile(r"(?:^|\s)comment(?:$|[\s_-])", re.IGNORECASE)
+#: How far an element's attributes mark furniture: a class or id word is doubtful, as layout wrappers carry them too.
+DOUBTFUL, SURE = 1, 2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -55,25 +59,30 @@ _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 
 
 class Node:
-    """An element: its tag, whether its name marks furniture, and its parts (texts and elements) in order."""
+    """An element: its tag, how far its name marks furniture, and its parts (texts and elements) in order.
 
-    __slots__ = ("tag", "marked", "main", "parts", "code")
+    ``size``: characters outside links and furniture; ``holds``: an article or main element lies in it; ``cut``: it is deleted for a doubtful mark.
+    """
+
+    __slots__ = ("tag", "mark", "main", "comment", "parts", "code", "size", "holds", "cut")
 
-    def __init__(self, tag: str, marked: bool = False, main: bool = False):
-        self.tag, self.marked, self.main = tag, marked, main
+    def __init__(self, tag: str, mark: int = 0, main: bool = False, comment: bool = False):
+        self.tag, self.mark, self.main, self.comment = tag, mark, main, comment
         self.parts: list[str | Node] = []
-        self.code = 0
+        self.code = self.size = 0
+        self.holds = self.cut = False
 
 
-def _attributes(text: str) -> tuple[bool, bool]:
-    """(marks furniture, marks the main part) from an element's attributes."""
+def _attributes(text: str) -> tuple[int, bool, bool]:
+    """(mark of furniture, marks the main part, is of class comment) from an element's attributes."""
     if not text or not _TELLING.search(text):
-        return False, False
-    marked = main = False
+        return 0, False, False
+    named = marked = main = comment = False
     for m in _ATTRIBUTE.finditer(text):
         name, value = m.group(1).lower(), next((g for g in m.groups()[1:] if g is not None), "")
         if name in ("class", "id"):
-            marked |= bool(MARKED.search(value))
+            named |= bool(MARKED.search(value))
+            comment |= name == "class" and bool(COMMENT.search(value))
         elif name == "role":
             marked |= value.strip().lower() in ROLES
             main |= value.strip().lower() in MAIN_ROLE
@@ -82,7 +91,7 @@ def _attributes(text: str) -> tuple[bool, bool]:
         elif name == "aria-hidden":
             marked |= value.lower() == "true"
     rest = _ATTRIBUTE.sub(" ", text)
-    return marked or bool(_BARE.search(rest)), main
+    return SURE if marked or _BARE.search(rest) else DOUBTFUL if named else 0, main, comment
 
 
 def parse(html: str) -> Node:
@@ -113,7 +122,7 @@ def parse(html: str) -> Node:
             end = _RAW_END[tag].search(html, at)
             stack.pop()
             at = end.end() if end else n
-        elif tag in VOID or m.group(3).endswith("/") and tag not in FURNITURE | INLINE | {"div", "p", "article", "section", "main"}:
+        elif tag in VOID or m.group(3).endswith("/") and tag not in FURNITURE | INLINE | {"div", "p", "article", "section", "main", "form"}:
             stack.pop()
     return root
 
@@ -139,37 +148,102 @@ def _open(stack: list[Node], tag: str, attributes: str) -> None:
     stack.append(node)
 
 
-def hash_subtrees(root: Node) -> None:
-    """Sets ``code`` of every element outside furniture: a 62-bit hash of its tags and texts, white space apart."""
-    order, todo = [], [root]
+def is_furniture(node: Node) -> bool:
+    return node.cut or not node.main and (node.tag in FURNITURE or node.mark == SURE and not _exempt(node))
+
+
+def _exempt(node: Node) -> bool:
+    return node.main or node.tag in ("html", "body", "article", "main")
+
+
+def _doubtful(node: Node) -> bool:
+    return (node.mark == DOUBTFUL or node.tag == "form") and not _exempt(node)
+
+
+def _inside(tops: list[Node]) -> list[Node]:
+    """The elements of the subtrees, each before what it holds. Furniture is not entered."""
+    order, todo = [], list(reversed(tops))
     while todo:
         node = todo.pop()
         order.append(node)
         if not is_furniture(node):
-            todo += [p for p in node.parts if isinstance(p, Node)]
-    for node in reversed(order):
+            todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
+    return order
+
+
+def weigh(root: Node) -> None:
+    """Sets ``size`` and ``holds``."""
+    for node in reversed(_inside([root])):
+        if is_furniture(node):
+            continue
+        below = [p for p in node.parts if isinstance(p, Node)]
+        if node.tag == "a":  # of a link only blocks count, which are in it if it was never closed
+            node.size = sum(p.size for p in below if p.tag not in INLINE)
+        else:
+            node.size = sum(p.size for p in below) + sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+        node.holds = any(p.holds or p.tag == "article" and not p.comment or p.tag == "main" or p.main for p in below if not is_furniture(p))
+
+
+def hash_subtrees(tops: list[Node]) -> None:
+    """Sets ``code`` of every element outside furniture: a 62-bit hash of its tags and texts, white space apart."""
+    for node in reversed(_inside(tops)):
         held = [node.tag.encode()]
         for part in node.parts:
             held.append(part.code.to_bytes(8, "little") if isinstance(part, Node) else b" ".join(part.encode().split()))
         node.code = xxh64_intdigest(b"\0".join(held)) >> 2
 
 
-def is_furniture(node: Node) -> bool:
-    return node.tag in FURNITURE or node.marked and node.tag not in ("html", "body", "article", "main")
-
-
 def _body(root: Node) -> list[Node]:
-    """The outermost article elements, else main elements, else the whole page. Furniture is not searched."""
-    articles, mains, todo = [], [], [root]
+    """The outermost article elements, else main elements, else the whole page. Furniture is not searched, doubtful wrappers are.
+
+    Articles that all lie in doubtful wrappers and hold less than half of the page may be teasers: they do not displace the rest.
+    """
+    articles, loose, mains, todo = [], [], [], [(root, False, False)]
+    plain = False
     while todo:
-        node = todo.pop()
+        node, wrapped, in_main = todo.pop()
+        if is_furniture(node):
+            continue
         if node.tag == "article":
-            articles.append(node)
-        elif node.tag == "main" or node.main:
+            if not (wrapped and node.comment):
+                plain |= not wrapped
+                articles.append(node)
+                if not in_main:
+                    loose.append(node)
+            continue
+        if (node.tag == "main" or node.main) and not in_main:
+            in_main = True
             mains.append(node)
-        if node.tag != "article" and not is_furniture(node):
-            todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
-    return articles or mains[:1] or [root]
+            loose.append(node)
+        wrapped |= _doubtful(node)
+        todo += [(p, wrapped, in_main) for p in reversed(node.parts) if isinstance(p, Node)]
+    if plain or articles and 2 * sum(a.size for a in articles) >= root.size:
+        return articles
+    if 2 * sum(m.size for m in mains[:1]) >= root.size:
+        return mains[:1] or [root]
+    return [n for n in loose if n.tag == "article" or n is mains[0]] if mains else [root]
+
+
+def judge(tops: list[Node]) -> None:
+    """Sets ``cut`` of the elements in the main part that a doubtful mark deletes.
+
+    It does not delete what holds an article or main element, or more than half of the main part; and if less than half
+    were left, it deletes nothing: what recurs then goes by the count over the host's pages.
+    """
+    whole = sum(t.size for t in tops)
+    cut, todo = [], [(t, t, t.tag == "article") for t in tops]
+    while todo:
+        node, top, in_article = todo.pop()
+        if is_furniture(node) and node is not top:
+            continue
+        if node is not top and _doubtful(node) and not (node.holds and not in_article or 2 * node.size > whole):
+            cut.append(node)
+            continue
+        in_article |= node.tag == "article"
+        todo += [(p, top, in_article) for p in node.parts if isinstance(p, Node)]
+    if 2 * sum(node.size for node in cut) <= whole:
+        for node in cut:
+            node.cut = True
 
 
 def blocks(html: str) -> list[tuple[str, list[int]]]:
@@ -178,10 +252,14 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
     The last bit of a subtree's hash says whether it lies in an article element.
     """
     root = parse(html)
-    hash_subtrees(root)
+    weigh(root)
+    tops = _body(root)
+    judge(tops)
+    hash_subtrees(tops)
     out: list[tuple[str, list[int]]] = []
     line: list[str] = []
     around: list[int] = []
+    within: list[bool] = []  # whether the open elements lie in an article element
 
     def close() -> None:
         text = _SPACE.sub(" ", unescape("".join(line))).strip()
@@ -189,14 +267,14 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
         if text:
             out.append((text, list(around)))
 
-    for top in _body(root):
-        in_article = top.tag == "article"
+    for top in tops:
         todo: list[Node | str | None] = [top]
         while todo:
             part = todo.pop()
             if part is None:
                 close()
                 around.pop()
+                within.pop()
             elif isinstance(part, str):
                 line.append(part)
             elif part is not top and is_furniture(part):
@@ -209,6 +287,8 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
             else:
                 close()
                 todo.append(None)
+                in_article = part.tag == "article" or bool(within and within[-1])
+                within.append(in_article)
                 # The main part as a whole, and what holds it, is no template.
                 around.append(part.code << 1 | in_article if part is not top and part.tag not in ("html", "body") else -1)
                 todo += reversed(part.parts)

@@ -179,3 +179,24 @@ def test_main_text(spark):
     assert all(got[200 + i] == {("Copied", True)} for i in range(30))
     assert [got[i] for i in (300, 301, 302, 303)] == [{("", True)}, {("", True)}, {("plain words < 3", True)}, {("", True)}]
     assert html.digest(pages.limit(0)).count() == 0
+
+
+def page_text(page):
+    return [text for text, _ in html.blocks(page)]
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "site no-sidebar", "container has-header", "page nav-open", "post category-social tag-legal", "elementor-widget elementor-widget-text"])
+def test_doubtful_wrappers_keep_the_main_text(name):
+    long = "The whole story, told at length and without links. " * 4
+    assert page_text(f'<body><div class="{name}"><article><p>{long}</p></article></div><p>Older</p>') == [long.strip()]
+    assert page_text(f'<body><div id="{name}"><div><p>{long}</p></div></div><div class="menu"><a>Home</a></div>') == [long.strip()]
+    assert page_text(f'<body><p>Lead</p><div class="{name}"><p>{long}</p></div><div class="{name}"><p>{long}</p></div>') == ["Lead", long.strip(), long.strip()]
+
+
+def test_a_form_around_the_page_keeps_it():
+    long = "A page of a server that wraps all in one form. " * 4
+    assert page_text(f'<body><form id="aspnetForm"><nav>n</nav><div class="footer">f</div><main><p>{long}</p><input></main></form>') == [long.strip()]
+    assert page_text(f"<body><form><div><p>{long}</p></div></form>") == [long.strip()]
+    # Small doubtful parts still go, and teasers in them displace nothing.
+    assert page_text(f'<body><p>{long}</p><form>Search</form><div class="comments">c</div>') == [long.strip()]
+    assert long.strip() in page_text(f'<body><main><p>{long}</p><div class="related"><article><p>teaser</p></article></div></main>')
