@@ -61,23 +61,24 @@ _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 class Node:
     """An element: its tag, how far its name marks furniture, and its parts (texts and elements) in order.
 
-    ``size``: characters outside links and furniture; ``holds``: an article or main element lies in it; ``cut``: it is deleted for a doubtful mark.
+    ``part``: "article" or "main", by tag or role. ``size``: characters outside links and furniture; ``holds``: an article or main element lies in it; ``cut``: it is deleted for a doubtful mark.
     """
 
-    __slots__ = ("tag", "mark", "main", "comment", "parts", "code", "size", "holds", "cut")
+    __slots__ = ("tag", "mark", "part", "comment", "parts", "code", "size", "holds", "cut")
 
-    def __init__(self, tag: str, mark: int = 0, main: bool = False, comment: bool = False):
-        self.tag, self.mark, self.main, self.comment = tag, mark, main, comment
+    def __init__(self, tag: str, mark: int = 0, role: str = "", comment: bool = False):
+        self.tag, self.mark, self.part, self.comment = tag, mark, tag if tag in MAIN_ROLE else role, comment
         self.parts: list[str | Node] = []
         self.code = self.size = 0
         self.holds = self.cut = False
 
 
-def _attributes(text: str) -> tuple[int, bool, bool]:
-    """(mark of furniture, marks the main part, is of class comment) from an element's attributes."""
+def _attributes(text: str) -> tuple[int, str, bool]:
+    """(mark of furniture, role if it is one of the main part, is of class comment) from an element's attributes."""
     if not text or not _TELLING.search(text):
-        return 0, False, False
-    named = marked = main = comment = False
+        return 0, "", False
+    named = marked = comment = False
+    part = ""
     for m in _ATTRIBUTE.finditer(text):
         name, value = m.group(1).lower(), next((g for g in m.groups()[1:] if g is not None), "")
         if name in ("class", "id"):
@@ -85,13 +86,13 @@ def _attributes(text: str) -> tuple[int, bool, bool]:
             comment |= name == "class" and bool(COMMENT.search(value))
         elif name == "role":
             marked |= value.strip().lower() in ROLES
-            main |= value.strip().lower() in MAIN_ROLE
+            part = role if (role := value.strip().lower()) in MAIN_ROLE else part
         elif name == "style":
             marked |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE))
         elif name == "aria-hidden":
             marked |= value.lower() == "true"
     rest = _ATTRIBUTE.sub(" ", text)
-    return SURE if marked or _BARE.search(rest) else DOUBTFUL if named else 0, main, comment
+    return SURE if marked or _BARE.search(rest) else DOUBTFUL if named else 0, part, comment
 
 
 def parse(html: str) -> Node:
@@ -149,11 +150,11 @@ def _open(stack: list[Node], tag: str, attributes: str) -> None:
 
 
 def is_furniture(node: Node) -> bool:
-    return node.cut or not node.main and (node.tag in FURNITURE or node.mark == SURE and not _exempt(node))
+    return node.cut or not node.part and (node.tag in FURNITURE or node.mark == SURE and not _exempt(node))
 
 
 def _exempt(node: Node) -> bool:
-    return node.main or node.tag in ("html", "body", "article", "main")
+    return bool(node.part) or node.tag in ("html", "body")
 
 
 def _doubtful(node: Node) -> bool:
@@ -181,7 +182,7 @@ def weigh(root: Node) -> None:
             node.size = sum(p.size for p in below if p.tag not in INLINE)
         else:
             node.size = sum(p.size for p in below) + sum(len(p.strip()) for p in node.parts if isinstance(p, str))
-        node.holds = any(p.holds or p.tag == "article" and not p.comment or p.tag == "main" or p.main for p in below if not is_furniture(p))
+        node.holds = any(p.holds or p.part and not (p.part == "article" and p.comment) for p in below if not is_furniture(p))
 
 
 def hash_subtrees(tops: list[Node]) -> None:
@@ -196,32 +197,32 @@ def hash_subtrees(tops: list[Node]) -> None:
 def _body(root: Node) -> list[Node]:
     """The outermost article elements, else main elements, else the whole page. Furniture is not searched, doubtful wrappers are.
 
-    Articles that all lie in doubtful wrappers and hold less than half of the page may be teasers: they do not displace the rest.
+    An element of role article stands with the articles, but only article elements displace a main element around them. Articles
+    in doubtful wrappers may be teasers: alone they are the main part only if they hold half of the page or more.
     """
-    articles, loose, mains, todo = [], [], [], [(root, False, False)]
-    plain = False
+    articles, outermost, firm = [], [], []
+    todo, plain = [(root, False, False)], False
     while todo:
         node, wrapped, in_main = todo.pop()
-        if is_furniture(node):
+        if is_furniture(node) or wrapped and node.part == "article" and node.comment:
             continue
-        if node.tag == "article":
-            if not (wrapped and node.comment):
-                plain |= not wrapped
+        if node.part:
+            if not in_main:
+                outermost.append(node)
+                if node.part == "main" or not wrapped:
+                    firm.append(node)
+            if node.part == "article":
+                plain |= node.tag == "article" and not wrapped
                 articles.append(node)
-                if not in_main:
-                    loose.append(node)
-            continue
-        if (node.tag == "main" or node.main) and not in_main:
+                continue
             in_main = True
-            mains.append(node)
-            loose.append(node)
         wrapped |= _doubtful(node)
         todo += [(p, wrapped, in_main) for p in reversed(node.parts) if isinstance(p, Node)]
-    if plain or articles and 2 * sum(a.size for a in articles) >= root.size:
+    if plain:
         return articles
-    if 2 * sum(m.size for m in mains[:1]) >= root.size:
-        return mains[:1] or [root]
-    return [n for n in loose if n.tag == "article" or n is mains[0]] if mains else [root]
+    if firm and 2 * sum(n.size for n in firm) >= root.size:
+        return firm
+    return outermost if firm or outermost and 2 * sum(n.size for n in outermost) >= root.size else [root]
 
 
 def judge(tops: list[Node]) -> None:
@@ -231,7 +232,7 @@ def judge(tops: list[Node]) -> None:
     were left, it deletes nothing: what recurs then goes by the count over the host's pages.
     """
     whole = sum(t.size for t in tops)
-    cut, todo = [], [(t, t, t.tag == "article") for t in tops]
+    cut, todo = [], [(t, t, t.part == "article") for t in tops]
     while todo:
         node, top, in_article = todo.pop()
         if is_furniture(node) and node is not top:
@@ -239,7 +240,7 @@ def judge(tops: list[Node]) -> None:
         if node is not top and _doubtful(node) and not (node.holds and not in_article or 2 * node.size > whole):
             cut.append(node)
             continue
-        in_article |= node.tag == "article"
+        in_article |= node.part == "article"
         todo += [(p, top, in_article) for p in node.parts if isinstance(p, Node)]
     if 2 * sum(node.size for node in cut) <= whole:
         for node in cut:
@@ -287,7 +288,7 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
             else:
                 close()
                 todo.append(None)
-                in_article = part.tag == "article" or bool(within and within[-1])
+                in_article = part.part == "article" or bool(within and within[-1])
                 within.append(in_article)
                 # The main part as a whole, and what holds it, is no template.
                 around.append(part.code << 1 | in_article if part is not top and part.tag not in ("html", "body") else -1)

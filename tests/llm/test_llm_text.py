@@ -200,3 +200,14 @@ def test_a_form_around_the_page_keeps_it():
     # Small doubtful parts still go, and teasers in them displace nothing.
     assert page_text(f'<body><p>{long}</p><form>Search</form><div class="comments">c</div>') == [long.strip()]
     assert long.strip() in page_text(f'<body><main><p>{long}</p><div class="related"><article><p>teaser</p></article></div></main>')
+
+
+def test_all_main_parts_are_read():
+    one, two = "The first part of the story. " * 3, "The second part of the story. " * 3
+    want = [one.strip(), two.strip()]
+    for open_, close in (('<div role="article">', "</div>"), ("<main>", "</main>"), ('<div role="main">', "</div>")):
+        assert page_text(f"<body><p>x</p>{open_}<p>{one}</p>{close}<p>y</p>{open_}<p>{two}</p>{close}") == want
+    assert page_text(f'<body><article><p>{one}</p></article><div role="article"><p>{two}</p></div>') == want
+    # A part of role article inside a main element does not displace the rest of it.
+    assert page_text(f'<body><p>x</p><main><p>{one}</p><div role="article" class="post tag-legal"><p>{two}</p></div></main>') == want
+    assert all(c & 1 for _, codes in html.blocks(f'<body><div role="article"><p>{one}</p></div>') for c in codes)
