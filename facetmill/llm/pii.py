@@ -1,13 +1,16 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field that adds what they miss.
 
-Words without a digit, ``@`` or ``+`` are outside any span by definition, so the field's chain falls apart into the runs of
-other words between them, and decoding these runs is decoding the text. Runs are decoded by Viterbi in numpy batches.
+Words without a digit, ``@`` or ``+`` that are not part of a spelled-out email ("name at host dot com") are outside any span
+by definition, so the field's chain falls apart into the runs of other words between them, and decoding these runs is
+decoding the text. The field adds national phones, emails beyond ASCII or spelled out, cards in other separators, and IPv6 or
+defanged addresses; its label decides, after a loose check that the span can be of its kind at all. Runs are decoded by Viterbi in numpy batches.
 The field is trained on the driver from a small labelled table in under a second or two, and broadcast.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import random
 import re
 from collections.abc import Iterable, Iterator
@@ -27,9 +30,22 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _EMAIL_PART = re.compile(r"[A-Za-z0-9._%+@-]*")
 
-LABELS = ("O", "EMAIL", "IP", "B-CARD", "I-CARD", "B-PHONE", "I-PHONE")
+LABELS = ("O", "B-EMAIL", "I-EMAIL", "IP", "B-CARD", "I-CARD", "B-PHONE", "I-PHONE")
 GAPS = " \t\n\x0b\x0c\r"
 _TRIGGER = re.compile(r"[0-9@+][^\x20\t-\r]*")
+#: Emails spelled out: "at" and "dot" as words, in brackets or not, and in brackets inside a word.
+_BRACKETED = re.compile(r"[(\[{<](?:at|dot)[)\]}>]", re.IGNORECASE)
+_SPELLED = re.compile(
+    r"(?<![^\x20\t-\r])(?:[^\x20\t-\r]++[\x20\t-\r]{1,8}[(\[{<]?at[)\]}>]?[\x20\t-\r]{1,8}[^\x20\t-\r]++|[^@\x20\t-\r]++@[^\x20\t-\r]++)"
+    r"(?:[\x20\t-\r]{1,8}[(\[{<]?dot[)\]}>]?[\x20\t-\r]{1,8}[^\x20\t-\r]++)+", re.IGNORECASE,
+)
+_SAID = re.compile(r"\s*(?:[(\[{<](at|dot)[)\]}>]|(?<!\S)(at|dot)(?!\S))\s*", re.IGNORECASE)
+_WORD = re.compile(r"[^\x20\t-\r]+")
+#: An email in any script.
+WIDE_EMAIL = re.compile(r"[\w.%+'-]+@[\w-]+(?:\.[\w-]+)*\.(?:[^\W\d_]{2,}|xn--[a-z0-9-]+)")
+DOMAINS = {
+    "com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "uk", "de", "fr", "es", "ch", "nl", "se", "pl", "eu", "ca", "au", "jp", "cn", "br", "ru", "dk", "fi", "pt",
+}
 _EDGE = ".,;:!?\"'()[]{}<>"
 FEATURES = 1 << 12  # hashed
 LABELLED_LINES = 900
@@ -80,17 +96,55 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-def runs(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Neighbouring words that hold a digit, ``@`` or ``+``, as (start, end)."""
-    run: list[tuple[int, int]] = []
+def _spelled(text: str) -> Iterator[tuple[int, int]]:
+    """Words of what may be an email spelled out, as (start, end), some of them twice."""
+    if "dot" in text or "DOT" in text or "Dot" in text:
+        for m in _SPELLED.finditer(text):
+            yield from (w.span() for w in _WORD.finditer(text, *m.span()))
+    for m in _BRACKETED.finditer(text):
+        low, high = m.span()
+        while low and text[low - 1] not in GAPS:
+            low -= 1
+        high = w.end() if (w := _WORD.match(text, high)) else high
+        yield low, high
+        if (low, high) == m.span():
+            # A bracketed word of its own: the words beside it belong to it.
+            if w := _WORD.search(text, high):
+                yield w.span()
+            end = low
+            while end and text[end - 1] in GAPS:
+                end -= 1
+            start = end
+            while start and text[start - 1] not in GAPS:
+                start -= 1
+            if start < end:
+                yield start, end
+
+
+def _words(text: str) -> Iterator[tuple[int, int]]:
+    """Words that may be in a span, in order."""
+    spelled = sorted(set(_spelled(text)))
+    at = 0
     for m in _TRIGGER.finditer(text):
         low = m.start()
         while low and text[low - 1] not in GAPS:
             low -= 1
+        while at < len(spelled) and spelled[at][0] <= low:
+            if spelled[at][0] < low:
+                yield spelled[at]
+            at += 1
+        yield low, m.end()
+    yield from spelled[at:]
+
+
+def runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Neighbouring words that hold a digit, ``@`` or ``+`` or are part of an email spelled out, as (start, end)."""
+    run: list[tuple[int, int]] = []
+    for low, high in _words(text):
         if run and not (0 < low - run[-1][1] <= 8 and not text[run[-1][1]:low].strip(GAPS)):
             yield run
             run = []
-        run.append((low, m.end()))
+        run.append((low, high))
     if run:
         yield run
 
@@ -104,6 +158,10 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
+def _sign(said: re.Match) -> str:
+    return "@" if "at" in said.group().lower() else "."
+
+
 def features(word: str) -> list[int]:
     """Hashed word-shape features."""
     core = word.strip(_EDGE)
@@ -115,6 +173,8 @@ def features(word: str) -> list[int]:
         f"plus{core[:1] == '+'}", f"paren{'(' in word}", f"alpha{any(c.isalpha() for c in core)}",
         f"luhn{14 <= len(digits) <= 19 and luhn(digits)}", f"ip{len(parts) == 4 and all(p.isdecimal() and len(p) < 4 and int(p) < 256 for p in parts)}",
         f"only{not core.strip('0123456789-')}", f"all{digits == core}{min(len(digits), 8)}",
+        f"said{core.lower() if core.lower() in ('at', 'dot') else ''}{bool(_BRACKETED.search(word))}", f"domain{core.lower() in DOMAINS}",
+        f"wide{not word.isascii()}{bool(WIDE_EMAIL.fullmatch(_SAID.sub(_sign, core)))}", f"colons{min(core.count(':'), 8)}{'::' in core}",
     ]
     return [int.from_bytes(hashlib.blake2b(n.encode(), digest_size=4).digest(), "little") % FEATURES for n in names]
 
@@ -227,26 +287,58 @@ def labelled_table(lines: int = LABELLED_LINES, seed: int = 7) -> list[tuple[lis
     def card() -> list[tuple[str, str]]:
         body = rng.choice("3456") + digits(rng.choice([13, 14, 14, 14, 14, 15]))
         full = body + next(c for c in "0123456789" if luhn(body + c))
-        form = rng.randrange(4)
+        form = rng.randrange(5)
         if form < 2:
             return [(full, "B-CARD")]
         parts = [full[i:i + 4] for i in range(0, len(full), 4)]
-        return [("-".join(parts), "B-CARD")] if form == 2 else [(p, "I-CARD" if i else "B-CARD") for i, p in enumerate(parts)]
+        if form == 2:
+            return [("-".join(parts), "B-CARD")]
+        if form == 3:
+            return [(rng.choice("./_\u2013\xa0").join(parts), "B-CARD")]
+        return [(p, "I-CARD" if i else "B-CARD") for i, p in enumerate(parts)]
 
     def phone() -> list[tuple[str, str]]:
         code, area, rest = f"+{rng.randint(1, 99)}", digits(3), f"{digits(3)}-{digits(4)}"
         words = rng.choice([
             [code, f"({area})", rest], [code, f"({area})", rest], [code, area, rest], [f"{code}-{area}-{rest}"], [code + digits(10)],
             [code, area, digits(3), digits(4)], [f"{code}.{area}.{digits(3)}.{digits(4)}"], [f"{code}({area}){rest}"], [f"({area})", rest],
+            [f"{area}-{rest}"], [f"{area}-{rest}"], [f"{area}.{digits(3)}.{digits(4)}"], [f"{area}.{digits(3)}.{digits(4)}"], [f"1-{area}-{rest}"], [f"({area}){rest}"],
+            [f"0{digits(2)}/{digits(8)}"], [f"0{digits(3)}/{digits(7)}"], [f"0{digits(3)}-{digits(7)}"],
         ])
         return [(w, "I-PHONE" if i else "B-PHONE") for i, w in enumerate(words)]
 
     def email() -> list[tuple[str, str]]:
         name = letters(rng.randint(2, 9)) + rng.choice(["", "." + digits(2), "_" + letters(4), "+" + letters(3), "-" + digits(3)])
-        return [(f"{name}@{letters(rng.randint(3, 8))}{rng.choice(['', digits(1)])}.{rng.choice(['example.com', 'com', 'org', 'co.uk', 'de'])}", "EMAIL")]
+        host = f"{letters(rng.randint(3, 8))}{rng.choice(['', digits(1)])}"
+        domain = rng.choice(["example.com", "com", "org", "co.uk", "de"])
+        form = rng.randrange(12)
+        if form < 4:
+            return [(f"{name}@{host}.{domain}", "B-EMAIL")]
+        if form < 6:
+            odd = lambda w: w[:1] + rng.choice("äöüéèñçøåßłжд漢") + w[1:]
+            return [(f"{odd(name) if form == 4 else name}@{odd(host)}.{domain}", "B-EMAIL")]
+        left, right = rng.choice([("", ""), ("(", ")"), ("[", "]"), ("{", "}")])
+        at, dot = rng.choice([("at", "dot"), ("at", "dot"), ("AT", "DOT")])
+        if form < 8 and left:
+            inner = f"{left}{dot}{right}" if rng.random() < 0.5 else "."
+            return [(f"{name}{left}{at}{right}{host}{inner}{domain}", "B-EMAIL")]
+        words = [name, f"{left}{at}{right}", host] if rng.random() < 0.8 else [f"{name}@{host}"]
+        if left and len(words) == 3 and rng.random() < 0.3:
+            words[-1] = f"{host}.{domain}"
+        else:
+            words += [w for part in domain.split(".") for w in (f"{left}{dot}{right}", part)]
+        words[-1] += rng.choice(["", "", ",", "."])
+        return [(w, "I-EMAIL" if i else "B-EMAIL") for i, w in enumerate(words)]
 
     def ip() -> list[tuple[str, str]]:
-        return [(".".join(str(rng.randint(0, 255)) for _ in range(4)), "IP")]
+        groups = [f"{rng.randint(0, 65535):x}" for _ in range(8)]
+        form = rng.randrange(6)
+        if form == 3:
+            return [(":".join(groups), "IP")]
+        if form == 4:
+            low = rng.randint(1, 4)
+            return [(":".join(groups[:low]) + "::" + ":".join(groups[:rng.randint(1, 3)]), "IP")]
+        return [(("[.]" if form == 5 else ".").join(str(rng.randint(0, 255)) for _ in range(4)), "IP")]
 
     def other() -> list[tuple[str, str]]:
         words = rng.choice([
@@ -255,7 +347,14 @@ def labelled_table(lines: int = LABELLED_LINES, seed: int = 7) -> list[tuple[lis
             [f"{letters(5)}={digits(6)}{letters(4)}"], ["A" + digits(4) + "B" + digits(3)], [f"{rng.randint(1, 9)}."], [f"@{letters(6)}"], ["+"], [f"{digits(2)}%"],
             [f"({digits(1)})"], [f"{digits(3)}", f"{digits(3)}"], [f"{rng.randint(300, 999)}.{digits(3)}.{rng.randint(300, 999)}.{digits(3)}"], [digits(12)], [f"+{digits(1)}"],
             [f"{digits(4)}-{digits(4)}"], [f"C++{digits(2)}"], [f"{digits(16)}{letters(2)}"],
-        ])
+            # Look-alikes of phones, addresses and emails spelled out.
+            [f"{digits(3)}-{digits(2)}-{digits(4)}"], [f"{digits(3)}-{digits(3)}-{digits(3)}"], [f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}"],
+            [f"{digits(5)}-{digits(4)}"], [f"{digits(3)}.{digits(3)}.{digits(3)}"], [f"{digits(1)}.{digits(10)}"], [f"{digits(2)}.{digits(2)}.{digits(4)}"],
+            [f"{digits(4)}/{digits(4)}"], [digits(10)], [f"{digits(3)}-{digits(4)}"], [f"{digits(2)}:{digits(2)}:{digits(2)}"],
+            [":".join(f"{rng.randint(0, 255):02x}" for _ in range(6))], [f"{letters(4)}::{digits(1)}"], [f"{letters(3)}@{digits(3)}"], [f"{letters(4)}é{digits(2)}"],
+            [letters(4), "at", letters(rng.randint(3, 7)), "dot", letters(rng.randint(3, 8)) + rng.choice(["", "", ",", "."])],
+            [letters(5), "(at)", letters(5)], [letters(5), "[dot]", letters(5)], [f"{letters(4)}(at){letters(4)}"],
+                ])
         return [(w, "O") for w in words]
 
     table = []
@@ -273,13 +372,21 @@ def _sound(kind: int, text: str) -> bool:
     """Whether a span of the field can be of its kind at all."""
     digits = _digits(text)
     if kind == 0:
-        return bool(EMAIL.fullmatch(text))
+        return bool(WIDE_EMAIL.fullmatch(_SAID.sub(_sign, text)))
     if kind == 1:
         parts = text.split(".")
-        return len(parts) == 4 and all(p.isdecimal() and len(p) < 4 and int(p) < 256 for p in parts)
+        return len(parts) == 4 and all(p.isdecimal() and len(p) < 4 and int(p) < 256 for p in parts) or _address(text.replace("[.]", "."))
     if kind == 2:
-        return 14 <= len(digits) <= 19 and luhn(digits) and not text.strip("0123456789 -")
-    return 10 <= len(digits) <= 15 and text[:1] in "+(" and not text.strip("+0123456789 ().-\t\n")
+        return 14 <= len(digits) <= 19 and luhn(digits) and not text.strip("0123456789 -./_\u2013\xa0\t\n\x0b\x0c\r")
+    # Nine digits at least: a date has eight.
+    return 9 <= len(digits) <= 15 and not text.strip("+0123456789 ().-/\t\n\x0b\x0c\r")
+
+
+def _address(text: str) -> bool:
+    try:
+        return bool(ipaddress.ip_address(text))
+    except ValueError:
+        return False
 
 
 def field_spans(text: str, words: list[tuple[int, int]], labels: np.ndarray) -> Iterator[Span]:
@@ -288,7 +395,7 @@ def field_spans(text: str, words: list[tuple[int, int]], labels: np.ndarray) ->
     while i < len(words):
         name = LABELS[labels[i]]
         j = i + 1
-        if name[2:] in ("CARD", "PHONE"):
+        if name[2:] in ("EMAIL", "CARD", "PHONE"):
             while j < len(words) and LABELS[labels[j]] == "I-" + name[2:]:
                 j += 1
         if name != "O":

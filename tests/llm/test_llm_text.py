@@ -211,3 +211,23 @@ def test_all_main_parts_are_read():
     # A part of role article inside a main element does not displace the rest of it.
     assert page_text(f'<body><p>x</p><main><p>{one}</p><div role="article" class="post tag-legal"><p>{two}</p></div></main>') == want
     assert all(c & 1 for _, codes in html.blocks(f'<body><div role="article"><p>{one}</p></div>') for c in codes)
+
+
+@pytest.mark.parametrize("kind, span", [
+    ("phone", "555-123-4567"), ("phone", "555.123.4567"), ("phone", "1-800-555-0199"), ("phone", "(555) 123-4567"), ("phone", "030/12345678"), ("phone", "0171/2345678"),
+    ("email", "jörg@müller.de"), ("email", "name at host dot com"), ("email", "anna [at] firma [dot] de"), ("email", "max.muster(at)firma.de"), ("email", "名字@例子.org"),
+    ("card", "4111.1111.1111.1111"), ("card", "4111–1111–1111–1111"), ("ip", "2001:db8::8a2e:370:7334"), ("ip", "10[.]20[.]30[.]40"),
+])
+def test_field_adds_what_the_patterns_miss(field, kind, span):
+    text = f"Please write to {span}, thanks."
+    base, every = pii.find([text], field)[0]
+    assert not base and pii.written(every) == f"{kind}:16:{16 + len(span)}"
+    assert pii.masked(text, every) == f"Please write to <{kind}>, thanks."
+
+
+def test_field_leaves_look_alikes(field):
+    for text in (
+        "on 2020-01-28 at 12:30:45", "ISBN 978-3-16-148410-0", "number 123-45-6789", "zip 12345-6789", "pi is 3.1415926535", "a total of 123.456.789", "look at polka dot dresses",
+        "part 123-456-789", "00:1a:2b:3c:4d:5e", "std::1", "seen @user", "they looked at it and saw a dot on it", "version 10.2.33", "id 1234567890", "f(at) x",
+    ):
+        assert pii.find([text], field)[0] == ([], []), text
