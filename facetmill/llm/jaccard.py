@@ -76,6 +76,10 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if fits_broadcast(ids, BROADCAST_IDS) else ids
 
 
+def digest_of(own: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
+
+
 def set_table(docs: DataFrame, doc_id: str, text: str, percent: int, words: int) -> DataFrame:
     """(doc_id, n, digest, prefix, bits) of every row. Sets without shingles have a null digest."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -86,7 +90,7 @@ def set_table(docs: DataFrame, doc_id: str, text: str, percent: int, words: int)
                 n, digest, prefix, bits = [], [], [], []
                 for own in shingle_sets(batch["text"], words):
                     n.append(len(own))
-                    digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                    digest.append(digest_of(own))
                     prefix.append(own[: prefix_length(len(own), percent)].view(np.int64) if len(own) else own.view(np.int64))
                     bits.append(bitmap(own) if len(own) else None)
                 offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
@@ -99,6 +103,22 @@ def set_table(docs: DataFrame, doc_id: str, text: str, percent: int, words: int)
     return map_batches(rows, run, "doc_id long, n int, digest binary, prefix array<long>, bits binary")
 
 
+def texts_of(docs: DataFrame, varied: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """``docs`` (doc_id, text) with the node of its class as the id of each row whose id has different sets. Rows that stand for no class go."""
+    rows = docs.withColumn("text", F.coalesce("text", F.lit(""))).join(small(varied), "doc_id", "left_semi")
+
+    def run(batches: Batches) -> Batches:
+        for whole in batches:
+            for batch in bounded(whole, "text"):
+                digests = pa.array([digest_of(own) for own in shingle_sets(batch["text"], words)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"], digests], names=["doc_id", "text", "digest"])
+
+    own = map_batches(rows.select("doc_id", "text"), run, "doc_id long, text string, digest binary")
+    own = own.join(classes.select("digest", F.col("rep").alias("doc_id"), "node"), ["digest", "doc_id"])
+    own = materialize(own.select(F.col("node").alias("doc_id"), "text"), "variants")
+    return docs.join(small(varied), "doc_id", "left_anti").select("doc_id", "text").unionByName(own)
+
+
 def _fits(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of these sizes can be similar enough."""
     return 100 * np.minimum(n, m).astype(np.int64) >= percent * np.maximum(n, m).astype(np.int64)
@@ -307,10 +327,31 @@ def group(
     one node: what one of them is linked with, all are. A null id keeps its set, takes part in no link and has a null component.
     """
     sets = materialize(set_table(docs, doc_id, text, percent, words), "sets")
-    named = sets.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    reps = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    classes = named.join(reps.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi").withColumnRenamed("doc_id", "rep")
-    if not named.groupBy("doc_id", "digest").count().filter("count > 1").isEmpty():
+    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    known = sets.filter(F.col("doc_id").isNotNull())
+    named = known.filter(F.col("digest").isNotNull())
+    code = F.xxhash64("digest")
+    repeated = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"), F.min(code).alias("l"), F.max(code).alias("h")).filter("c > 1")
+    repeated = materialize(repeated.select("doc_id", (F.col("l") < F.col("h")).alias("varied")), "repeated")
+    varied = repeated.filter("varied").select("doc_id")
+    one_set = varied.isEmpty()
+    # A class is named by its least id, or by a hash of its own if rows of that id have other sets too.
+    reps = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    if one_set:
+        reps = materialize(reps, "classes")
+        classes = named.join(reps.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi").withColumnRenamed("doc_id", "rep")
+        edges = None
+    else:
+        several = varied.select(F.col("doc_id").alias("rep"), F.lit(True).alias("several"))
+        reps = reps.join(small(several), "rep", "left").select("digest", "rep", F.when(F.col("several"), code).otherwise(F.col("rep")).alias("node"))
+        reps = materialize(reps, "classes")
+        classes = named.join(reps.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"]).drop("doc_id").withColumnRenamed("node", "rep")
+        texts = texts_of(texts, varied, reps, words)
+        # The sets of one id are linked, by the id.
+        held = materialize(named.join(small(varied), "doc_id", "left_semi").join(reps.select("digest", "node"), "digest").select("doc_id", "node").distinct(), "held")
+        hubs = materialize(held.groupBy("doc_id").agg(F.min("node").alias("a")), "hubs")
+        edges = materialize(held.join(small(hubs), "doc_id").filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "links")
+    if not repeated.isEmpty():
         classes = classes.dropDuplicates(["rep", "digest"])
     classes = materialize(classes.select("rep", "n", "prefix", "bits"), "sets")
     index = classes.select(F.explode("prefix").alias("token"), "rep", F.col("n").cast("long").alias("n"))
@@ -321,16 +362,26 @@ def group(
     fits = F.lit(100) * F.least("n", "least.n") >= F.lit(percent) * F.greatest("n", "least.n")
     stars = large.join(least, "x").filter((F.col("y") != F.col("least.y")) & fits).select(F.col("least.y").alias("a"), F.col("y").alias("b"))
     pairs = found.filter("not large").select(F.col("x").alias("a"), F.col("y").alias("b")).union(stars)
-    links = materialize(linked(materialize(likely(pairs, classes, percent), "likely"), docs, doc_id, text, percent, words), "links")
+    links = materialize(linked(materialize(likely(pairs, classes, percent), "likely"), texts, "doc_id", "text", percent, words), "links")
+    links = links if edges is None else links.union(edges)
     labels = components(links)
     if not large.isEmpty():
         more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent)
-        more = materialize(linked(materialize(more, "likely"), docs, doc_id, text, percent, words), "links")
+        more = materialize(linked(materialize(more, "likely"), texts, "doc_id", "text", percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
-    # A row's class gives its label; rows that repeat an id with another text share the least label.
-    of_class = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
+    # A row's class gives its label.
+    if one_set:
+        of_class = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
+    else:
+        of_class = materialize(reps.join(labels, "node", "left").select("digest", "rep", F.coalesce("label", "node").alias("label")), "labels")
+        of_class = of_class.join(of_class.groupBy("label").agg(F.min("rep").alias("component_id")), "label").select("digest", "component_id")
     out = sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "digest").join(of_class, "digest", "left")
+    if not one_set:
+        # Rows without shingles share the label of their id's other rows.
+        out = materialize(out, "labels")
+        of_id = out.filter("component_id is not null").join(small(varied), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("of_id"))
+        out = out.join(small(materialize(of_id, "labels")), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "of_id"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"))
 

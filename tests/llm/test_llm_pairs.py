@@ -68,6 +68,17 @@ def test_groups_of_odd_documents(spark, odd_documents, no_documents):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 3, 4, 5, 6, 7, 8, 10, 11]
 
 
+@pytest.mark.parametrize("limits", [{}, {"small_bucket": 2, "tile_rows": 3}])
+def test_groups_of_ids_with_several_texts(spark, limits):
+    rows = [((i * 7) % 150 - 20, text) for i, text in texts_with_copies(12, 240)]
+    one, two, three = (" ".join(f"{k}{i}" for i in range(40)) for k in "xyz")
+    # 2007 holds two classes of other least ids, 3001 links one near copy by each of its texts, 3005 has a row without words.
+    rows += [(2007, one), (2003, one), (2007, two), (2001, two + " end"), (3001, one.upper() + " a b"), (3001, three), (3002, three + " end"), (3005, three), (3005, None), (3006, None), (3006, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = collections.Counter(map(tuple, jaccard.group(docs, **limits).collect()))
+    assert got == plain_groups(rows)
+
+
 def test_prefix_and_bitmap_bounds_hold():
     import numpy as np
 
