@@ -2,7 +2,8 @@
 
 A page is parsed once, into the blocks of its main part without furniture; every block names the hashes of the element
 subtrees it lies in. Spark counts, per host, with how many different bodies each subtree occurs (an article published
-twice counts once); subtrees that recur on a good part of a host's pages are its template, and their blocks are deleted.
+twice counts once); subtrees that recur on a good part of a host's pages are its template, and their blocks are deleted. The same is
+counted per section of a host, where the pages that hold a subtree differ otherwise.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .workers import Batches, bounded, map_batches
 LEAST_PAGES = 5
 LEAST_SHARE = 0.3
 LEAST_SHARE_IN_ARTICLE = 0.6
+#: Sections (first folder of the path) of so many bodies are also counted by themselves, as sub-sites have layouts of their own.
+LEAST_IN_SECTION = 10
 BROADCAST_HOSTS = 100_000
 
 #: Fixed names of the markup language.
@@ -313,6 +316,45 @@ def templates(pages: DataFrame) -> DataFrame:
     return often.groupBy("_host").agg(F.collect_list("code").alias("template"))
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if fits_broadcast(keys, BROADCAST_HOSTS) else keys
+
+
+def section_templates(pages: DataFrame, found: DataFrame) -> DataFrame | None:
+    """(_host, _section, section_template) like ``templates``, of what the templates ``found`` leave; None if there is nothing.
+
+    Near copies of one page share most of their text: a subtree counts only if at least half of the bodies around it have as
+    much text of their own as text that recurs.
+    """
+    key = ["_host", "_section"]
+    sizes = pages.groupBy(*key).agg(F.count(F.lit(1)).alias("c"))
+    sizes = materialize(sizes, "sizes")
+    mixed = sizes.join(sizes.groupBy("_host").agg(F.sum("c").alias("all")), "_host").filter((F.col("c") >= LEAST_IN_SECTION) & (F.col("c") < F.col("all")))
+    mixed = materialize(mixed.select(*key), "sections")
+    if mixed.isEmpty():
+        return None
+    none = F.array().cast("array<bigint>")
+    body = F.xxhash64(F.transform("_blocks", lambda b: b["text"]))
+    rows = pages.join(_few(mixed), key, "left_semi").join(_few(found), "_host", "left")
+    rows = rows.select(*key, body.alias("body"), F.filter("_blocks", lambda b: ~F.arrays_overlap(b["codes"], F.coalesce("template", none))).alias("left"))
+    codes = F.array_distinct(F.flatten(F.transform("left", lambda b: b["codes"])))
+    seen = rows.select(*key, "body", F.explode(F.concat(F.array(F.lit(-1).cast("bigint")), codes)).alias("code"))
+    counts = materialize(seen.distinct().groupBy(*key, "code").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= LEAST_IN_SECTION), "subtrees")
+    share = F.when(F.col("code") % 2 == 1, LEAST_SHARE_IN_ARTICLE).otherwise(LEAST_SHARE)
+    whole = counts.filter("code = -1").select(*key, F.col("c").alias("pages"))
+    often = counts.filter("code <> -1").join(whole, key).filter(F.col("c") >= share * F.col("pages"))
+    often = materialize(often.groupBy(*key).agg(F.collect_list("code").alias("often")), "often")
+    if often.isEmpty():
+        return None
+    length = lambda recurs: F.aggregate(
+        F.filter("left", lambda b: F.arrays_overlap(b["codes"], F.col("often")) == F.lit(recurs)), F.lit(0), lambda n, b: n + F.length(b["text"])
+    )
+    differ = rows.join(_few(often), key).filter(length(False) >= length(True))
+    held = differ.select(*key, "body", F.explode(F.array_intersect(codes, "often")).alias("code")).distinct().groupBy(*key, "code").agg(F.count(F.lit(1)).alias("d"))
+    good = held.join(counts, [*key, "code"]).filter(2 * F.col("d") >= F.col("c"))
+    return materialize(good.groupBy(*key).agg(F.collect_list("code").alias("section_template")), "templates")
+
+
 def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url") -> DataFrame:
     """Columns ``keep`` of every row plus ``_text``: the blocks that are no template, joined by an empty line.
 
@@ -320,10 +362,11 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
     their own, of empty name. Repeated rows are equal pages and give equal texts.
     """
     rows = pages.select(
-        F.struct(*[F.col(f"`{k}`") for k in keep]).alias("_row"), host_of(F.col(f"`{url}`")).alias("_host"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html")
+        F.struct(*[F.col(f"`{k}`") for k in keep]).alias("_row"), host_of(F.col(f"`{url}`")).alias("_host"),
+        F.xxhash64(F.regexp_extract(F.col(f"`{url}`"), r"^[^/?#]*//[^/?#]*/([^/?#]+)/", 1)).alias("_section"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html"),
     )
     kind = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("codes", T.ArrayType(T.LongType()))]))
-    schema = T.StructType([rows.schema["_row"], T.StructField("_host", T.StringType()), T.StructField("_blocks", kind)])
+    schema = T.StructType([rows.schema["_row"], T.StructField("_host", T.StringType()), T.StructField("_section", T.LongType()), T.StructField("_blocks", kind)])
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
@@ -333,7 +376,7 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
                 codes = pa.array([c for page in found for _, c in page], pa.list_(pa.int64()))
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(page) for page in found]))).astype(np.int32))
                 held = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([texts, codes], ["text", "codes"]))
-                yield pa.RecordBatch.from_arrays([batch["_row"], batch["_host"], held], names=["_row", "_host", "_blocks"])
+                yield pa.RecordBatch.from_arrays([batch["_row"], batch["_host"], batch["_section"], held], names=["_row", "_host", "_section", "_blocks"])
 
     parsed = materialize(map_batches(rows, run, schema), "blocks")
     found = materialize(templates(parsed), "templates")
@@ -342,7 +385,15 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
     else:
         joined = spread_left_join(parsed, found, ["_host"], ["_row"], counted=parsed)
     none = F.array().cast("array<bigint>")
-    kept = F.filter("_blocks", lambda b: ~F.arrays_overlap(b["codes"], F.coalesce("template", none)))
+    template = F.coalesce("template", none)
+    sections = section_templates(parsed, found)
+    if sections is not None:
+        if fits_broadcast(sections, BROADCAST_HOSTS):
+            joined = joined.join(F.broadcast(sections), ["_host", "_section"], "left")
+        else:
+            joined = spread_left_join(joined, sections, ["_host", "_section"], ["_row"], counted=parsed)
+        template = F.concat(template, F.coalesce("section_template", none))
+    kept = F.filter("_blocks", lambda b: ~F.arrays_overlap(b["codes"], template))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
     return joined.select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], text.alias("_text"))
 

@@ -231,3 +231,14 @@ def test_field_leaves_look_alikes(field):
         "part 123-456-789", "00:1a:2b:3c:4d:5e", "std::1", "seen @user", "they looked at it and saw a dot on it", "version 10.2.33", "id 1234567890", "f(at) x",
     ):
         assert pii.find([text], field)[0] == ([], []), text
+
+
+def test_sections_of_a_large_host_have_templates(spark):
+    story = "Story {i} tells of {i} things that no other page has, and of {i} more."
+    page = "<body><div><p>Menu of {s}</p><p>join {s}</p></div><div><p>" + story + "</p></div>"
+    rows = [(100 * k + i, f"http://h.example/{s}/{i}", page.format(s=s, i=100 * k + i)) for k, s in enumerate("abcde") for i in range(20)]
+    # Near copies of one page are no template.
+    rows += [(1000 + i, f"http://h.example/n/{i}", f"<body><div><p>{'The one report. ' * 9}</p><p>{'Its second part. ' * 9}</p><p>Copy {i}</p></div>") for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in html.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[100 * k + i] == story.format(i=100 * k + i) for k in range(5) for i in range(20))
+    assert all(got[1000 + i].startswith("The one report.") and "second part" in got[1000 + i] and got[1000 + i].endswith(f"Copy {i}") for i in range(12))
