@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, jaccard, language, mixing, pii, quality, sql, substrings, topk, urls
+from . import bpe, html, jaccard, language, mixing, pii, quality, simhash, sql, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +56,13 @@ def op10_quality_rules(spark, sf_dir):
     return quality.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op6_pii, op7_substrings, op8_jaccard, op9_language, op10_quality_rules)}
+def op13_simhash(spark, sf_dir):
+    return simhash.digest(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op6_pii, op7_substrings, op8_jaccard, op9_language, op10_quality_rules, op13_simhash,
+)}
 
 SQL: dict[str, str] = {
     "op1_url_filters": sql.url_filters(),
