@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, jaccard, language, mixing, pii, quality, simhash, sql, substrings, topk, urls
+from . import bpe, html, jaccard, language, mixing, negatives, pii, quality, simhash, sql, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,12 +56,17 @@ def op10_quality_rules(spark, sf_dir):
     return quality.digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return negatives.digest(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_simhash(spark, sf_dir):
     return simhash.digest(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op6_pii, op7_substrings, op8_jaccard, op9_language, op10_quality_rules, op13_simhash,
+    op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op6_pii, op7_substrings, op8_jaccard, op9_language, op10_quality_rules,
+    op11_hard_negatives, op13_simhash,
 )}
 
 SQL: dict[str, str] = {
@@ -71,4 +76,5 @@ SQL: dict[str, str] = {
     "op7_substrings": sql.repeats(),
     "op8_jaccard": sql.groups(),
     "op10_quality_rules": sql.quality_rules(),
+    "op11_hard_negatives": sql.hard_negatives(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import jaccard, mixing, quality, substrings, topk, urls
+from . import jaccard, mixing, negatives, quality, substrings, topk, urls
 
 
 def url_filters() -> str:
@@ -136,3 +136,20 @@ def groups() -> str:
     least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
     SELECT s.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(l.b, s.doc_id)) AS component_id
       FROM split s LEFT JOIN sizes z ON z.doc_id = s.doc_id LEFT JOIN least l ON l.a = s.doc_id"""
+
+
+def hard_negatives() -> str:
+    n = negatives
+    return f"""WITH whole AS (SELECT vec_id, CASE WHEN vec_id % {n.MOVED_STEP} = 0 THEN (label + 1) % {n.LABELS} ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor({n.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    pairs AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM whole a JOIN whole c ON a.vec_id % {n.ANCHOR_STEP} = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+    liked AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM
+      (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM pairs WHERE same) WHERE place <= {n.POSITIVES}),
+    hard AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+      FROM liked JOIN pairs USING (anchor_id) WHERE NOT same AND {n.LEAST_PERCENT} * positive_score <= {n.MOST_PERCENT} * score AND score <= positive_score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= {n.NEGATIVES}"""
