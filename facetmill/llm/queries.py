@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, jaccard, language, mixing, negatives, pii, quality, simhash, sql, substrings, topk, urls
+from . import bpe, conversations, html, jaccard, language, mixing, negatives, pii, quality, simhash, sql, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,13 +60,17 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.digest(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversations(spark, sf_dir):
+    return conversations.digest(_table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash(spark, sf_dir):
     return simhash.digest(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_url_filters, op2_mixing, op3_topk, op4_html, op5_bpe, op6_pii, op7_substrings, op8_jaccard, op9_language, op10_quality_rules,
-    op11_hard_negatives, op13_simhash,
+    op11_hard_negatives, op12_conversations, op13_simhash,
 )}
 
 SQL: dict[str, str] = {
@@ -77,4 +81,5 @@ SQL: dict[str, str] = {
     "op8_jaccard": sql.groups(),
     "op10_quality_rules": sql.quality_rules(),
     "op11_hard_negatives": sql.hard_negatives(),
+    "op12_conversations": sql.conversations_repair(),
 }

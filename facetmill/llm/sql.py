@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import jaccard, mixing, negatives, quality, substrings, topk, urls
+from . import conversations, jaccard, mixing, negatives, quality, substrings, topk, urls
 
 
 def url_filters() -> str:
@@ -153,3 +153,59 @@ def hard_negatives() -> str:
         vec_id AS negative_id, positive_score, score AS negative_score
       FROM liked JOIN pairs USING (anchor_id) WHERE NOT same AND {n.LEAST_PERCENT} * positive_score <= {n.MOST_PERCENT} * score AND score <= positive_score)
     SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= {n.NEGATIVES}"""
+
+
+def conversations_repair() -> str:
+    c = conversations
+    # CRC-32 bit by bit: each character is followed by eight marks.
+    crc = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(name, ''),
+      lambda x: [CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"""
+    never = 1000000
+    own = {0: "CASE initial WHEN 's' THEN b1 WHEN 'u' THEN b2 ELSE {n} END", 1: "CASE initial WHEN 'u' THEN b2 ELSE {n} END", 2: "CASE initial WHEN 'a' THEN b3 ELSE {n} END"}
+    own[3] = own[1]
+    keep = {q: own[q].format(n=never) for q in range(4)}
+    rows = ", ".join(
+        f"least({c.DELETE} + b{q}, CASE WHEN fault IN ('b', 'd') THEN {never} ELSE extra + least({c.KEEP} + {keep[q]}, {c.REROLE} + b{c._AFTER[q]}) END) AS r{q}" for q in range(4)
+    )
+    i = c.INSERT
+    before = f"least(r0, {i} + r2, {2 * i} + r3) AS b0, least(r1, {i} + r2, {2 * i} + r3) AS b1, least(r2, {i} + r3) AS b2, least(r3, {i} + r2) AS b3"
+    pick = lambda name, q: f"CASE {q} WHEN 0 THEN {name}0 WHEN 1 THEN {name}1 WHEN 2 THEN {name}2 ELSE {name}3 END"
+    after = "CASE WHEN q = 2 THEN 3 ELSE 2 END"
+    kept = "CASE WHEN q = 0 AND initial = 's' THEN 1 WHEN q <> 2 AND initial = 'u' THEN 2 WHEN q = 2 AND initial = 'a' THEN 3 END"
+    return rf"""WITH RECURSIVE named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+    coded AS (SELECT *, {crc} % {c.DAMAGES} AS code FROM named),
+    hurt AS (SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM coded JOIN (VALUES (1), (2)) n(copy) ON code <> 0 AND (copy = 1 OR code = 3)),
+    placed AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, left(role, 1) AS initial,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen FROM hurt),
+    judged AS (SELECT *, CASE WHEN body = '' THEN 'b' WHEN seen > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault,
+        CASE WHEN right(body, 1) NOT IN ('.', '!', '?') THEN {c.TRUNCATED} ELSE 0 END AS extra, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS earlier FROM placed),
+    counted AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+        count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+        count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+    every AS (SELECT DISTINCT conv_id FROM conversations),
+    sized AS (SELECT e.conv_id, coalesce(n, 0) AS n FROM every e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id),
+    back AS (SELECT conv_id, n + 1 AS i, {', '.join(f'{x} AS b{q}' for q, x in enumerate(c._END))} FROM sized
+      UNION ALL SELECT conv_id, i, {before} FROM (SELECT j.conv_id, j.i, {rows} FROM back b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.i = b.i - 1)),
+    walk AS (SELECT conv_id, CAST(1 AS BIGINT) AS i, 0 AS q, '' AS audit, CAST(NULL AS VARCHAR) AS said FROM sized
+      UNION ALL SELECT conv_id, CASE letter WHEN 'I' THEN i ELSE i + 1 END, CASE letter WHEN 'D' THEN q WHEN 'K' THEN {kept} ELSE {after} END, audit || letter,
+        CASE letter WHEN 'D' THEN said ELSE coalesce(said || chr(10), '') || CASE WHEN letter = 'K' THEN role WHEN q = 2 THEN 'assistant' ELSE 'user' END
+          || ':' || CASE letter WHEN 'I' THEN '' ELSE text END END
+      FROM (SELECT w.*, j.role, j.text, j.initial, CASE
+          WHEN j.i IS NULL THEN 'I'
+          WHEN {c.DELETE} + {pick('z.b', 'q')} = {pick('b.b', 'q')} THEN 'D'
+          WHEN {i} + {pick('b.b', after)} = {pick('b.b', 'q')} THEN 'I'
+          WHEN fault NOT IN ('b', 'd') AND {kept} IS NOT NULL AND extra + {c.KEEP} + {pick('z.b', f'({kept})')} = {pick('b.b', 'q')} THEN 'K'
+          ELSE 'R' END AS letter
+        FROM walk w JOIN back b ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND b.i = w.i
+          LEFT JOIN back z ON z.conv_id IS NOT DISTINCT FROM w.conv_id AND z.i = w.i + 1
+          LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i
+        WHERE j.i IS NOT NULL OR q IN (1, 2))),
+    ended AS (SELECT w.* FROM walk w JOIN sized s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = s.n + 1 WHERE q IN (0, 3))
+    SELECT w.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+      coalesce(illegal, 0) AS illegal, CAST(b.b0 AS BIGINT) AS cost, audit, sha256(coalesce(said, '')) AS repaired_sha256
+      FROM ended w JOIN back b ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND b.i = 1 LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id"""
