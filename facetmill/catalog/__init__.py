@@ -3,4 +3,4 @@
 from __future__ import annotations
 
 from .registry import QUERIES, SQL  # noqa: F401
-from . import expressions, history, ingest, streams, upserts, warehouse  # noqa: F401  (register)
+from . import expressions, history, ingest, streams, upserts, warehouse, kept  # noqa: F401  (register)

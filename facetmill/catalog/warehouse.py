@@ -139,11 +139,14 @@ def dim_product(spark, folder):
   UNION ALL SELECT -1, '-1', 'Unknown', 'Unknown', '-1', 'Unknown', 'Unknown', 0, 0, 0, '-1', 'Unknown', '-1', 'Unknown',
     '-1', 'Unknown', 'Unknown'""")
 def dim_product_recrawled(spark, folder):
-    """Every product loaded twice; the later load counts, one row per product."""
-    staged = staging.stg_product(td.products(spark, folder))
-    again = staged.withColumns({"vnd_unit_price": (F.col("vnd_unit_price") + 1).cast("decimal(38,9)"), "loaded": F.lit(2)})
-    sold = td.lines_as_written(spark, folder).select("product_id")
-    return without_audit(dims.dim_product(staged.withColumn("loaded", F.lit(1)).unionByName(again), sold, loaded="loaded"))
+    """Every product crawled twice; through the whole build the later crawl counts, one row per product."""
+    src = td.sources(spark, folder)
+    early = src.products.withColumn("crawled", F.lit(1))
+    # The earlier crawl is greater in all other columns.
+    late = early.withColumns({"price": (F.col("price") + 1).cast("decimal(38,9)"), "crawled": F.lit(2)})
+    early = early.withColumns({"name": F.concat(F.lit("~"), "name"), "sku": F.concat(F.lit("~"), "sku")})
+    src = dataclasses.replace(src, products=early.unionByName(late), product_loaded="crawled")
+    return without_audit(pipeline.build_core(src)["dim_product"])
 
 
 @query("""WITH sold AS (SELECT DISTINCT 'P' || l_suppkey AS id FROM lineitem), listed AS (SELECT 'P' || (p_partkey // 2) AS id,

@@ -202,3 +202,29 @@ def replace_groups(
     """
     audited = with_carried_audit(new, old, keys).select(old.columns)
     return old.join(new.select(group).distinct(), group, "left_anti").select(old.columns).unionByName(audited)
+
+
+def reconcile_groups(
+    new: DataFrame, old: DataFrame, group: str, keys: Sequence[str], line: Sequence[str], declared: str
+) -> DataFrame:
+    """``old`` after a load that may hold only some lines of a group (order).
+
+    ``declared`` is a column of ``new``: how many lines the whole group has. Where the load holds as many, the
+    group is replaced as a whole. Where it holds fewer, or the number is not known, a line that arrives replaces
+    the old lines with the same ``line`` columns (no NULLs) and all others stay: nothing vanishes because it
+    came in another load. Rows with an unchanged key keep ``created_*``.
+    """
+    counts = new.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.max(declared).alias("_declared"))
+    whole = counts.where(F.col("_n") >= F.col("_declared")).select(group)
+    rows = new.drop(declared)
+    audited = with_carried_audit(rows, old, keys).select(old.columns)
+    arrived = rows.select(group, *line).distinct()
+    kept = old.join(whole, group, "left_anti").join(arrived, [group, *line], "left_anti")
+    return kept.select(old.columns).unionByName(audited)
+
+
+def shrinking_groups(new: DataFrame, old: DataFrame, group: str, line: Sequence[str]) -> DataFrame:
+    """Groups that :func:`replace_groups` would leave with lines missing: (group, lost_lines)."""
+    arrived = new.select(group, *line).distinct()
+    held = old.join(new.select(group).distinct(), group, "left_semi")
+    return held.join(arrived, [group, *line], "left_anti").groupBy(group).agg(F.count(F.lit(1)).alias("lost_lines"))

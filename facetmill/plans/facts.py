@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,7 +13,8 @@ from ..operators.intervals import version_at
 from ..operators.joins import lookup_join
 from ..operators.rates import convert_lines, dense_rates
 from ..operators.upsert import (
-    changed_or_new, in_partitions, late_floor, late_window, left_out, merge_columns, partition_values, replace_groups,
+    changed_or_new, in_partitions, late_floor, late_window, left_out, merge_columns, partition_values, reconcile_groups,
+    replace_groups, shrinking_groups,
 )
 from ..session import materialize
 from ..sources.writers import write_partitioned
@@ -23,6 +25,8 @@ LINE_COLUMNS = [
 ]
 MEASURES = ["local_unit_price", "usd_unit_price", "local_amount", "usd_amount"]
 DAY = "local_order_date"
+#: What tells the lines of one order apart, whatever their price.
+LINE = ("product_key",)
 FACT_COLUMNS = [
     "sales_key", "order_id", "order_date_key", "local_order_date", "local_datetime",
     "scd_customer_key", "customer_key", "location_key", "store_key", "product_key",
@@ -148,24 +152,40 @@ def sales_rows(
     )
 
 
+def merged_orders(rows: DataFrame, old: DataFrame, declared: str | None = None, line: Sequence[str] = LINE) -> DataFrame:
+    """``old`` lines after the orders in ``rows``.
+
+    A line's key holds its price, so a corrected line has another key and orders are replaced as a whole. That asks
+    for rows that hold every line of their orders, as those read from the whole log of the open window do. For loads that
+    may hold part of an order, ``declared`` names a column with the number of lines the order has: orders that
+    are not complete are merged line by line. :func:`shrinking_orders` tells what a replacement would lose.
+    """
+    if declared is None:
+        return replace_groups(rows, old, "order_id", ["sales_key"])
+    return reconcile_groups(rows, old, "order_id", ["sales_key"], line, declared)
+
+
+def shrinking_orders(rows: DataFrame, target: DataFrame, line: Sequence[str] = LINE) -> DataFrame:
+    """Orders in ``rows`` that have lines in ``target`` which ``rows`` lack: (order_id, lost_lines)."""
+    return shrinking_groups(rows, target, "order_id", line)
+
+
 def fact_sales_order_detail(
-    rows: DataFrame, target: DataFrame | None = None, days: int = 7, as_of: datetime.date | None = None
+    rows: DataFrame, target: DataFrame | None = None, days: int = 7, as_of: datetime.date | None = None,
+    declared: str | None = None, line: Sequence[str] = LINE,
 ) -> DataFrame:
     """The sales fact; with a target, the table after reprocessing the last seven days (M7).
 
-    Orders that arrive within the open window replace what the window holds of
-    them: a line's key holds its price, so a corrected line has another key.
-    Rows older than the window are not taken; :func:`late_rejects` returns them.
+    Orders that arrive within the open window replace what the window holds of them, see :func:`merged_orders`
+    for ``declared`` and ``line``. Rows older than the window are not taken; :func:`late_rejects` returns them.
     For a table kept in date folders use :func:`upsert_sales` instead.
     """
     if target is None:
-        return with_audit(rows)
+        return with_audit(rows.drop(declared) if declared else rows)
     floor = late_floor(target, DAY, days, as_of)
     open_ = floor.isNull() | (F.col(DAY) >= floor)
     fresh = late_sales(rows, target, days, as_of)
-    return target.where(~F.coalesce(open_, F.lit(False))).unionByName(
-        replace_groups(fresh, target.where(open_), "order_id", ["sales_key"])
-    )
+    return target.where(~F.coalesce(open_, F.lit(False))).unionByName(merged_orders(fresh, target.where(open_), declared, line))
 
 
 def late_sales(rows: DataFrame, target: DataFrame, days: int = 7, as_of: datetime.date | None = None) -> DataFrame:
@@ -190,9 +210,13 @@ def touched_days(fresh: DataFrame, target: DataFrame, floor: datetime.date | Non
     return partition_values(old.select(DAY).union(fresh.select(DAY)), DAY)
 
 
-def upsert_sales(rows: DataFrame, path: str, days: int = 7, as_of: datetime.date | None = None) -> DataFrame:
+def upsert_sales(
+    rows: DataFrame, path: str, days: int = 7, as_of: datetime.date | None = None, declared: str | None = None
+) -> DataFrame:
     """Upsert into the fact kept at ``path``, rewriting only the touched date folders (M7, M8).
 
+    ``declared``: see :func:`merged_orders`.
+
     Returns the rows that came too late. A day that loses all its lines, as their
     order moved to another day, cannot be emptied by overwriting folders; then the
     whole table is written anew.
@@ -204,9 +228,9 @@ def upsert_sales(rows: DataFrame, path: str, days: int = 7, as_of: datetime.date
     rejects = materialize(late_rejects(rows, target, days, as_of), "late_rejects")
     fresh = materialize(late_sales(rows, target, days, as_of), "late_sales")
     days_touched = touched_days(fresh, target, floor)
-    merged = materialize(replace_groups(fresh, in_partitions(target, DAY, days_touched), "order_id", ["sales_key"]), "touched_sales")
+    merged = materialize(merged_orders(fresh, in_partitions(target, DAY, days_touched), declared), "touched_sales")
     if set(days_touched) - set(partition_values(merged, DAY)):
-        whole = materialize(fact_sales_order_detail(fresh, target, days, as_of), "whole_sales")
+        whole = materialize(fact_sales_order_detail(fresh, target, days, as_of, declared), "whole_sales")
         write_partitioned(whole, path, DAY, ["order_date_key", "order_id"], replace_all=True)
     else:
         write_sales(merged, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,7 +26,8 @@ LANDING_PARTS = 64
 class Sources:
     """Inputs of a build. ``events`` feeds sales, ``visits`` the histories.
 
-    Both are usually the same event table.
+    Both are usually the same event table. ``product_loaded`` names the column of
+    ``products`` that tells when a row was crawled; without it the greatest of several crawls counts.
     """
 
     events: DataFrame
@@ -37,6 +39,7 @@ class Sources:
     rates: DataFrame
     calendar: DataFrame
     url_rules: StoreUrlRules
+    product_loaded: str | None = None
 
 
 #: How the kept tables are laid out: the date folders of the facts, the sort columns of the dimensions.
@@ -76,6 +79,14 @@ def read_core(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder}/{name}") for name in (*DATE_FOLDERS, *SORTED_BY)}
 
 
+def side_by_side(spark: SparkSession, *branches: Callable[[], None]) -> None:
+    """Run branches that do not depend on each other at once, and wait for all."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(branches)) as pool:
+        for done in [pool.submit(inherit(branch)) for branch in branches]:
+            done.result()
+
+
 def build_core(
     src: Sources, existing: dict[str, DataFrame] | None = None, as_of: datetime.date | None = None
 ) -> dict[str, DataFrame]:
@@ -103,7 +114,9 @@ def build_core(
         table("order_lines", facts.summed_lines(t["stg_sales_order_detail"]))
         table(
             "dim_product",
-            dims.dim_product(staging.stg_product(src.products), t["stg_sales_order_detail"], old.get("dim_product")),
+            dims.dim_product(
+                staging.stg_product(src.products, src.product_loaded), t["stg_sales_order_detail"], old.get("dim_product"), src.product_loaded
+            ),
         )
 
     def customers() -> None:
@@ -133,11 +146,7 @@ def build_core(
             facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], src.rates, old.get("fact_snapshot_exchange_rate")),
         )
 
-    inherit = inheritable_thread_target(src.events.sparkSession)
-    branches = [inherit(branch) for branch in (sales, customers, places, money)]
-    with ThreadPoolExecutor(len(branches)) as pool:
-        for done in [pool.submit(branch) for branch in branches]:
-            done.result()
+    side_by_side(src.events.sparkSession, sales, customers, places, money)
 
     known_versions = t["dim_customer_scd"].where(F.col("scd_customer_key") != UNKNOWN_KEY)
     known = old.get("fact_sales_order_detail")

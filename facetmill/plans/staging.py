@@ -71,15 +71,19 @@ def rejected_lines(events: DataFrame, strict_decimal_comma: bool = False) -> Dat
     return checkout_lines(events).withColumn("reason", reason).where("reason is not null")
 
 
-def stg_user_email_by_local_datetime(events: DataFrame) -> DataFrame:
-    """Runs of one e-mail state per user, from events of every type (M1)."""
-    seen = events.where(text.has_text("user_id_db")).select(
+def user_states(events: DataFrame) -> DataFrame:
+    """Which e-mail a user had when: all that events of every type add to the histories."""
+    return events.where(text.has_text("user_id_db")).select(
         F.trim("user_id_db").alias("user_id_db"),
         text.blank_to_null("email_address").alias("email_address"),
         dates.local_datetime("local_time").alias("local_datetime"),
         dates.utc_from_epoch("time_stamp").alias("utc_timestamp"),
     )
-    runs = change_intervals(seen, "user_id_db", "email_address", "local_datetime", "utc_timestamp")
+
+
+def user_email_runs(states: DataFrame) -> DataFrame:
+    """Runs of one e-mail state per user (M1). ``states``: see :func:`user_states`."""
+    runs = change_intervals(states, "user_id_db", "email_address", "local_datetime", "utc_timestamp")
     return runs.select(
         "user_id_db",
         "email_address",
@@ -89,6 +93,11 @@ def stg_user_email_by_local_datetime(events: DataFrame) -> DataFrame:
     )
 
 
+def stg_user_email_by_local_datetime(events: DataFrame) -> DataFrame:
+    """Runs of one e-mail state per user, from events of every type (M1)."""
+    return user_email_runs(user_states(events))
+
+
 def stg_store_url_info(events: DataFrame, rules: urls.StoreUrlRules) -> DataFrame:
     """Distinct addresses under which each store was seen."""
     return (
@@ -107,8 +116,11 @@ def stg_generate_date(spark: SparkSession, end: str, start: str = CALENDAR_START
     return date_spine(spark, start, end).select(*dates.calendar_attributes("full_date"))
 
 
-def stg_product(products: DataFrame) -> DataFrame:
-    """Renamed and trimmed product attributes; rows without an id are left out."""
+def stg_product(products: DataFrame, loaded: str | None = None) -> DataFrame:
+    """Renamed and trimmed product attributes; rows without an id are left out.
+
+    ``loaded``: a column that tells when a row was crawled, as ``read_products`` can give it; it is carried along.
+    """
     trimmed = {
         "product_id": "product_id", "product_name": "name", "product_sku": "sku",
         "attribute_set_id": "attribute_set_id", "attribute_set_name": "attribute_set",
@@ -126,6 +138,7 @@ def stg_product(products: DataFrame) -> DataFrame:
         *[F.trim(src).alias(name) for name, src in trimmed.items()],
         *[F.col(src).cast("decimal(38,9)").alias(name) for name, src in amounts.items()],
         *[text.blank_to_null(src).alias(name) for name, src in optional.items()],
+        *([loaded] if loaded else []),
     )
 
 

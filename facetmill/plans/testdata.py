@@ -14,7 +14,7 @@ from ..functions.urls import StoreUrlRules
 from ..operators.joins import ipv4_text, locate_addresses
 from ..session import materialize
 from .pipeline import Sources
-from .staging import CHECKOUT
+from .staging import CHECKOUT, stg_generate_date
 
 URL_RULES = StoreUrlRules(shop_hosts=("%www.shop.%", "%www.ring%"), local_host="shop.local", local_prefix="st")
 
@@ -147,6 +147,12 @@ def checkouts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def event_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Page views and checkouts as one log."""
+    sold = checkouts(spark, folder).withColumn("_id", F.concat(F.lit("c"), "order_id", F.lit("-"), F.col("cart_products")[0]["product_id"]))
+    return visits(spark, folder).unionByName(sold, allowMissingColumns=True)
+
+
 def countries(spark: SparkSession, folder: str) -> DataFrame:
     nations = table(spark, folder, "nation")
     regions = table(spark, folder, "region")
@@ -263,18 +269,19 @@ def browsing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sources(spark: SparkSession, folder: str) -> Sources:
-    from .staging import stg_generate_date
-
+def references(spark: SparkSession, folder: str) -> dict:
+    """The inputs besides the event log."""
     first, last = calendar_bounds(spark, folder)
-    return Sources(
-        events=checkouts(spark, folder),
-        visits=visits(spark, folder),
-        products=products(spark, folder),
-        ip_locations=ip_locations(spark, folder),
-        countries=countries(spark, folder),
-        currencies=currencies(spark, folder),
-        rates=rates(spark, folder),
-        calendar=stg_generate_date(spark, last, first),
-        url_rules=URL_RULES,
-    )
+    return {
+        "products": products(spark, folder),
+        "ip_locations": ip_locations(spark, folder),
+        "countries": countries(spark, folder),
+        "currencies": currencies(spark, folder),
+        "rates": rates(spark, folder),
+        "calendar": stg_generate_date(spark, last, first),
+        "url_rules": URL_RULES,
+    }
+
+
+def sources(spark: SparkSession, folder: str) -> Sources:
+    return Sources(events=checkouts(spark, folder), visits=visits(spark, folder), **references(spark, folder))

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+RUN_FOLDER = "spark.facetmill.run.folder"
+
 
 def build_session(
     app: str = "facetmill", master: str | None = None, input_gb: float | None = None, **conf: str
@@ -57,8 +61,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder. The caller's job creates it."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the folder of the run, or else the shared folder. The caller's job creates it."""
+    return f"{spark.conf.get(RUN_FOLDER, None) or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """What is materialized inside the block is removed at its end. Results must be written elsewhere by then.
+
+    It holds for the whole session, threads included; a block inside another one adds nothing.
+    """
+    outer = spark.conf.get(RUN_FOLDER, None)
+    if outer:
+        yield outer
+        return
+    folder = new_folder(spark, "run")
+    spark.conf.set(RUN_FOLDER, folder)
+    try:
+        yield folder
+    finally:
+        spark.conf.unset(RUN_FOLDER)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -33,14 +33,16 @@ def read_raw_events(
 
 
 def read_products(
-    spark: SparkSession, path: str | list[str], glob: str = "*.jsonl"
+    spark: SparkSession, path: str | list[str], glob: str = "*.jsonl", loaded: str | None = None
 ) -> DataFrame:
     """Product attributes, 27 columns.
 
     The required key is checked by ``operators.quality.not_null``; a JSON
-    reader cannot enforce it.
+    reader cannot enforce it. ``loaded`` names one more column with the time of the file a row came in: of
+    several crawls of a product the latest one counts (J10).
     """
-    return read_json_lines(spark, path, schemas.PRODUCTS, glob)
+    rows = read_json_lines(spark, path, schemas.PRODUCTS, glob)
+    return rows.withColumn(loaded, F.col("_metadata.file_modification_time")) if loaded else rows
 
 
 def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
