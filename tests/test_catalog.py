@@ -6,6 +6,7 @@ import pytest
 from compare import check, database
 
 import __spark_entry__ as entry_points
+from facetmill import catalog
 
 FOLDER = os.environ.get("CATALOG_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,14 +20,15 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    problem = check(spark, duck, FOLDER, name, entry_points.queries()[name], entry_points.oracle_sql().get(name))
+    problem = check(spark, duck, FOLDER, name, catalog.QUERIES[name], catalog.SQL.get(name))
     assert problem is None, problem
 
 
-def test_every_query_has_sql():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+def test_every_query_has_sql_and_is_registered():
+    assert set(catalog.SQL) == set(catalog.QUERIES) <= set(entry_points.queries())
+    assert set(catalog.SQL) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
