@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import dataclasses
+import functools
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.audit import without_audit
+from ..functions.audit import AUDIT, without_audit
 from ..operators import joins
-from ..plans import checks, dims, facts, lists, pipeline, staging
+from ..plans import checks, contracts, dims, facts, lists, pipeline, staging
 from ..plans import testdata as td
 from ..session import materialize, new_folder
 from . import fragments as q
@@ -243,10 +244,20 @@ def mart_sales(spark, folder):
     return pipeline.build_mart(td.sources(spark, folder))["mart_sales_report"]
 
 
+def _output_sql() -> dict[str, str]:
+    """The SQL of the ten outputs, without audit columns."""
+    return {name: SQL[name] for name in contracts.CONTRACTS if name in SQL} | {
+        "fact_snapshot_exchange_rate": SQL["fact_exchange_rate"], "fact_sales_order_detail": SQL["fact_sales"], "mart_sales_report": SQL["mart_sales"],
+    }
+
+
 def _checks_sql() -> str:
     """Every declared check, over the SQL of the table it concerns."""
-    source = {name: SQL[name] for name in checks.CHECKS if name in SQL} | {
-        "fact_snapshot_exchange_rate": SQL["fact_exchange_rate"], "fact_sales_order_detail": SQL["fact_sales"], "mart_sales_report": SQL["mart_sales"],
+    source = _output_sql() | {
+        "countries_currencies_full": f"WITH {q.COUNTRIES} SELECT *, country_code AS country_code_iso2 FROM countries",
+        "currencies_with_raw_symbol": f"WITH {q.COUNTRIES} SELECT currency_code, currency_name FROM countries",
+        "exchange_rates": f"WITH {q.KNOWN_RATES} SELECT strftime(day, '%Y%m%d') AS date_key, code AS from_currency_code, 'USD' AS to_currency_code, rate AS exchange_rate FROM known_rates",
+        "stg_generate_date": SQL["dim_date"], "stg_store_url_info": SQL["stg_store_url_info"],
     }
     parts = []
     for name, c in checks.CHECKS.items():
@@ -260,9 +271,33 @@ def _checks_sql() -> str:
 
 @query(_checks_sql())
 def dq_models(spark, folder):
-    """Q1 to Q3: the declared checks of all ten outputs, on the built tables."""
+    """Q1 to Q3: the declared checks of seeds, staging and all ten outputs, counted as the tables are written."""
+    report = checks.Report()
+    pipeline.build_mart(td.sources(spark, folder), report=report)
+    return report.to_df(spark)
+
+
+def _types_sql() -> str:
+    """Every declared column of the outputs with the rows that hold a value."""
+    parts = []
+    for name, sql in _output_sql().items():
+        columns = {c: kind for c, kind in contracts.columns(name).items() if c not in AUDIT}
+        rows = ", ".join(f"('{c}', '{kind}', (SELECT count({c}) FROM t))" for c, kind in columns.items())
+        parts.append(f"SELECT * FROM (WITH t AS MATERIALIZED ({sql}) SELECT '{name}' AS table_name, c.* FROM (VALUES {rows}) c(column_name, actual_type, filled_rows))")
+    return " UNION ALL ".join(parts)
+
+
+@query(_types_sql())
+def dq_types(spark, folder):
+    """Q4: the columns of the ten built outputs, their types, and how many rows hold a value."""
     built = pipeline.build_mart(td.sources(spark, folder))
-    return checks.check_tables(built | {"mart_sales_report": materialize(built["mart_sales_report"], "mart")})
+    parts = []
+    for name in contracts.CONTRACTS:
+        df = without_audit(built[name])
+        counts = df.agg(*[F.count(f.name).alias(f.name) for f in df.schema])
+        column = lambda f: F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("actual_type"), F.col(f.name).alias("filled_rows"))
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*[column(f) for f in df.schema]))))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 CUTOFF = "1998-06-01"

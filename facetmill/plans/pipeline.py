@@ -16,6 +16,8 @@ from ..functions.urls import StoreUrlRules
 from ..session import materialize
 from ..sources.writers import write_clustered, write_partitioned
 from . import dims, facts, mart, staging
+from .checks import Report
+from .contracts import promised
 
 
 #: One type and day of the log is written by up to so many tasks.
@@ -88,7 +90,7 @@ def side_by_side(spark: SparkSession, *branches: Callable[[], None]) -> None:
 
 
 def build_core(
-    src: Sources, existing: dict[str, DataFrame] | None = None, as_of: datetime.date | None = None
+    src: Sources, existing: dict[str, DataFrame] | None = None, as_of: datetime.date | None = None, report: Report | None = None
 ) -> dict[str, DataFrame]:
     """Staging, dimensions and facts, each shared table written once.
 
@@ -102,12 +104,20 @@ def build_core(
     lookups see exact sizes. The branches for sales, customers and places do
     not depend on each other; they are submitted side by side, so that the
     tail of one branch does not leave the cluster idle.
+
+    Outputs must have the columns they declare. With a ``report`` the declared checks are counted as tables are
+    written, those of the seeds and of staging included; a strict one stops the run at the first violation.
     """
     t: dict[str, DataFrame] = {}
     old = existing or {}
 
     def table(name: str, df: DataFrame) -> None:
-        t[name] = materialize(df, name)
+        t[name] = report.materialize(name, df) if report else materialize(promised(name, df), name)
+
+    def checked(name: str, df: DataFrame) -> DataFrame:
+        if report:
+            report.check(name, df)
+        return df
 
     def sales() -> None:
         table("stg_sales_order_detail", staging.stg_sales_order_detail(src.events))
@@ -127,23 +137,18 @@ def build_core(
     def places() -> None:
         table("stg_ip_location_mapping", staging.stg_ip_location_mapping(src.ip_locations))
         table("dim_location", dims.dim_location(t["stg_ip_location_mapping"]))
-        table(
-            "dim_store",
-            dims.dim_store(
-                staging.stg_store_url_info(src.visits, src.url_rules),
-                src.countries,
-                src.url_rules.local_host,
-                old.get("dim_store"),
-            ),
-        )
+        pages = checked("stg_store_url_info", staging.stg_store_url_info(src.visits, src.url_rules))
+        countries = checked("countries_currencies_full", src.countries)
+        table("dim_store", dims.dim_store(pages, countries, src.url_rules.local_host, old.get("dim_store")))
 
     def money() -> None:
-        days = dims.dim_date(src.calendar, old.get("dim_date"))
+        days = dims.dim_date(checked("stg_generate_date", src.calendar), old.get("dim_date"))
         table("dim_date", old["dim_date"].unionByName(days) if old else days)
-        table("dim_currency", dims.dim_currency(src.currencies))
+        table("dim_currency", dims.dim_currency(checked("currencies_with_raw_symbol", src.currencies)))
+        rates = checked("exchange_rates", src.rates)
         table(
             "fact_snapshot_exchange_rate",
-            facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], src.rates, old.get("fact_snapshot_exchange_rate")),
+            facts.fact_snapshot_exchange_rate(t["dim_date"], t["dim_currency"], rates, old.get("fact_snapshot_exchange_rate")),
         )
 
     side_by_side(src.events.sparkSession, sales, customers, places, money)
@@ -171,13 +176,21 @@ def build_core(
 
 
 def build_mart(
-    src: Sources, existing: dict[str, DataFrame] | None = None, as_of: datetime.date | None = None
+    src: Sources, existing: dict[str, DataFrame] | None = None, as_of: datetime.date | None = None,
+    strict: bool = False, report: Report | None = None,
 ) -> dict[str, DataFrame]:
-    """Core tables plus the flat report table. The fact is written first."""
-    t = build_core(src, existing, as_of)
-    t["fact_sales_order_detail"] = materialize(t["fact_sales_order_detail"], "fact_sales_order_detail")
-    t["mart_sales_report"] = mart.mart_sales_report(
+    """Core tables plus the flat report table. The fact is written first.
+
+    With ``strict`` a violated check stops the run, see :func:`build_core`; with a report of one's own, or ``strict``, the flat
+    table is written and checked too.
+    """
+    report = report or (Report(strict=True) if strict else None)
+    t = build_core(src, existing, as_of, report)
+    name = "fact_sales_order_detail"
+    t[name] = report.materialize(name, t[name]) if report else materialize(promised(name, t[name]), name)
+    flat = promised("mart_sales_report", mart.mart_sales_report(
         t["fact_sales_order_detail"], t["dim_date"], t["dim_product"], t["dim_store"],
         t["dim_location"], t["dim_customer_scd"], t["dim_currency"],
-    )
+    ))
+    t["mart_sales_report"] = report.materialize("mart_sales_report", flat) if report else flat
     return t

@@ -20,8 +20,10 @@ from ..functions.keys import UNKNOWN_KEY
 from ..functions.urls import StoreUrlRules
 from ..operators.joins import fits_broadcast
 from ..session import materialize, run_folder
-from ..sources.folders import Folder, FolderTable
+from ..sources.folders import Folder, FolderTable, Version, Wanted
 from . import dims, facts, mart, staging
+from .checks import Report
+from .contracts import promised
 from .pipeline import LANDING_PARTS, SORTED_BY, side_by_side
 
 USER_BUCKETS = 64
@@ -51,11 +53,14 @@ class Warehouse:
 
     ``user_buckets``: about the size of the histories by 1 GB. ``period``: what one folder of the log and of the fact
     holds, a "day" or, for logs of little a day, a "month". The open window begins ``late_days`` before the newest sale, with a whole folder.
+    ``strict``: new rows of a table are checked after they are written and before readers see them; a violation stops the run.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, user_buckets: int = USER_BUCKETS, late_days: int = 7, period: str = "day"):
+    def __init__(
+        self, spark: SparkSession, folder: str, user_buckets: int = USER_BUCKETS, late_days: int = 7, period: str = "day", strict: bool = False
+    ):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self.user_buckets, self.late_days, self.period = user_buckets, late_days, period
+        self.user_buckets, self.late_days, self.period, self.strict = user_buckets, late_days, period, strict
 
         def table(name: str, by: tuple[str, ...] = (), order: list[str] | None = None) -> FolderTable:
             return FolderTable(spark, f"{self.folder}/{name}", by, SORTED_BY.get(name, []) if order is None else order)
@@ -158,11 +163,10 @@ class Warehouse:
         runs = materialize(staging.user_email_runs(self._of_users(self.states, users)), "stg_user_email")
         touched = {str(r[0]) for r in users.select("user_bucket").distinct().collect()}
         taken = {"taken": self.loads()}
-        for table, build in zip(targets, (dims.dim_customer_scd, dims.dim_customer_current)):
-            head = table.head()
-            known = table.read(lambda f: f.values["user_bucket"] in touched, head.number).drop("user_bucket") if head else None
-            rows = build(runs, known).withColumn("user_bucket", self._bucket())
-            table.replace(rows, lambda f: f.values["user_bucket"] in touched, taken, head.number if head else 0)
+        for name, build in (("dim_customer_scd", dims.dim_customer_scd), ("dim_customer_current", dims.dim_customer_current)):
+            head = self.tables[name].head()
+            known = self.tables[name].read(lambda f: f.values["user_bucket"] in touched, head.number).drop("user_bucket") if head else None
+            self._publish(name, build(runs, known), head, {"user_bucket": self._bucket()}, lambda f: f.values["user_bucket"] in touched, taken)
 
     def update_stores(self, ref: References) -> None:
         new = self.fresh(self.pages)
@@ -205,10 +209,32 @@ class Warehouse:
         )
 
     def _replace(self, name: str, build: Callable[[DataFrame | None], DataFrame], note: dict | None = None) -> None:
+        head = self.tables[name].head()
+        old = self.tables[name].read(version=head.number) if head else None
+        self._publish(name, build(old), head, note=note)
+
+    def _publish(
+        self, name: str, rows: DataFrame, head: Version | None, folders: dict[str, Column] | None = None, gone: Wanted | None = None, note: dict | None = None
+    ) -> None:
+        """Write rows of a table, check them, and only then put them in the place of the folders that ``gone`` accepts (all, by default).
+
+        ``folders``: the partition columns, which are not part of what the table declares. Unique keys are checked
+        among the new rows; folders that stay are not read for it.
+        """
         table = self.tables[name]
-        head = table.head()
-        old = table.read(version=head.number) if head else None
-        table.replace(build(old), None, note, head.number if head else 0)
+        loads, schemas = [], []
+
+        def write(df: DataFrame) -> DataFrame:
+            df = df.withColumns(folders or {})
+            schemas.append(df.schema)
+            loads.append(table.write(df))
+            return table.pending(loads[0], df.schema).drop(*(folders or {}))
+
+        if self.strict:
+            Report(strict=True).written(name, rows, write)
+        else:
+            write(promised(name, rows))
+        table.switch(loads, schemas[0], gone or (lambda f: True), note, head.number if head else 0)
 
     def _period(self, day: Column) -> Column:
         return day if self.period == "day" else F.trunc(day, self.period)
@@ -260,7 +286,7 @@ class Warehouse:
             merged = facts.fact_sales_order_detail(rows)
         else:
             merged = facts.merged_orders(materialize(rows, "open_sales"), fact.read(is_open, head.number).drop("sold_from"))
-        fact.replace(merged.withColumn("sold_from", self._period(F.col(facts.DAY))), is_open, taken, head.number if head else 0)
+        self._publish("fact_sales_order_detail", merged, head, {"sold_from": self._period(F.col(facts.DAY))}, is_open, taken)
         new = self.fresh(self.late)
         if head is not None and new:
             late = facts.summed_lines(staging.stg_sales_order_detail(self.late_checkouts(floor, new)))

@@ -12,6 +12,7 @@ from facetmill.functions.urls import StoreUrlRules
 from facetmill.operators import upsert
 from facetmill.plans import facts, lists, pipeline, staging
 from facetmill.plans import warehouse as kept
+from facetmill.plans.checks import ViolatedError
 from facetmill.session import RUN_FOLDER, materialize, run_folder
 from facetmill.sources import files
 from facetmill.sources.folders import FolderTable
@@ -273,3 +274,16 @@ def test_partial_orders_are_merged_by_line(spark):
     ]
     lost = facts.shrinking_orders(new, old)
     assert sorted(map(tuple, lost.collect())) == [("a", 1), ("b", 1)]
+
+
+def test_rows_that_violate_a_check_are_not_published(spark, ref, tmp_path):
+    house = kept.Warehouse(spark, str(tmp_path / "house"), user_buckets=4, strict=True)
+    house.land(log(spark, *FIRST))
+    house.update(ref, AS_OF)
+    before = house.tables["dim_currency"].versions()
+    twice = dataclasses.replace(ref, currencies=ref.currencies.unionByName(ref.currencies))
+    with pytest.raises(ViolatedError, match="dim_currency"):
+        house.update_money(twice)
+    assert house.tables["dim_currency"].versions() == before and house.read("dim_currency").count() == 3
+    house.update_money(ref)
+    assert len(house.tables["dim_currency"].versions()) == len(before) + 1

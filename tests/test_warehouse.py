@@ -1,5 +1,6 @@
 """The whole chain on hand-written retail files."""
 
+import dataclasses
 import json
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from facetmill import schemas, sources
 from facetmill.functions.urls import StoreUrlRules
 from facetmill.operators import normalize, quality
-from facetmill.plans import dims, facts, lists, pipeline, staging
+from facetmill.plans import checks, dims, facts, lists, pipeline, staging
 
 
 def event(**fields):
@@ -200,3 +201,19 @@ def test_landed_events_are_read_from_the_table_only(spark, src, tmp_path):
     assert sorted(map(str, lines.collect())) == sorted(map(str, staging.stg_sales_order_detail(src.events).collect()))
     folders = {f.parent.parent.name for f in (tmp_path / "events").rglob("*.parquet")}
     assert folders == {"collection=view_product_detail", "collection=checkout_success"}
+
+
+def test_a_violated_check_stops_the_build(src):
+    report = checks.Report()
+    built = pipeline.build_mart(src, report=report)
+    assert {name for name, *_ in report.rows} == set(checks.CHECKS)
+    # The two lines of the guest's order have no rate.
+    assert [r for r in report.rows if r[2]] == [("mart_sales_report", "not_null:unit_price", 2), ("mart_sales_report", "not_null:sales_amount", 2)]
+    with pytest.raises(checks.ViolatedError, match="mart_sales_report.*unit_price"):
+        pipeline.build_mart(src, strict=True)
+    good = dataclasses.replace(src, events=src.events.where("order_id is null or order_id <> '103'"))
+    assert pipeline.build_mart(good, strict=True)["mart_sales_report"].count() == built["mart_sales_report"].count() - 2
+    bad = dataclasses.replace(good, currencies=src.currencies.unionByName(src.currencies.limit(1)))
+    with pytest.raises(checks.ViolatedError, match="currencies_with_raw_symbol"):
+        pipeline.build_mart(bad, strict=True)
+    assert pipeline.build_mart(bad)["dim_currency"].count() == 4, "without strict nothing is looked for"
