@@ -243,7 +243,7 @@ def spread_lookup(spark, folder):
     lines = td.table(spark, folder, "lineitem").withColumn("p_partkey", hot)
     parts = td.table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
     return joins.lookup_join(
-        lines, parts, ["p_partkey"], ["l_orderkey", "l_linenumber"], max_rows=0, hot_rows=1000
+        lines, parts, ["p_partkey"], ["l_orderkey", "l_linenumber"], max_bytes=0, hot_rows=1000, counted=lines
     ).select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "p_name", "p_brand")
 
 

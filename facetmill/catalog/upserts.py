@@ -199,5 +199,5 @@ def spread_lookup_guests(spark, folder):
     buyer = F.when(F.col("o_orderstatus") == "P", None).when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(F.col("o_custkey"))
     lines = td.table(spark, folder, "lineitem").join(orders.select("o_orderkey", buyer.cast("bigint").alias("buyer")), F.col("l_orderkey") == F.col("o_orderkey"))
     known = td.table(spark, folder, "customer").where("c_nationkey <> 3").select(F.col("c_custkey").alias("buyer"), F.col("c_name").alias("customer"))
-    spread = joins.lookup_join(lines.select("l_orderkey", "l_linenumber", "buyer"), known, ["buyer"], ["l_orderkey", "l_linenumber"], max_rows=0, hot_rows=500)
+    spread = joins.lookup_join(lines.select("l_orderkey", "l_linenumber", "buyer"), known, ["buyer"], ["l_orderkey", "l_linenumber"], max_bytes=0, hot_rows=500)
     return spread.select("l_orderkey", "l_linenumber", "customer", "buyer")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..session import materialize
 from .scans import latest_at
@@ -12,17 +12,23 @@ from .scans import latest_at
 HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 10_000
 BROADCAST_ROWS = 200_000
+#: A broadcast side may fill this share of the smaller heap, of an executor or the driver. It is built on the driver, sent, and held unfolded.
+BROADCAST_SHARE = 1 / 16
+#: What a row of a broadcast side costs besides its values.
+ROW_BYTES = 48
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and into how many parts of that size each is cut (``_parts``).
+    """Keys with more than ``hot_rows`` rows, and into how many parts of that size each is cut (``_parts``). A written table.
 
-    Counted with partial sums per task. The bar rises with the table, so that there are
+    One job, with partial sums per task, counts the keys and all rows. The bar rises with the table, so that there are
     at most ``MOST_HOT_KEYS`` of them: the list can be broadcast whatever the data.
     """
-    bar = max(hot_rows, df.count() // MOST_HOT_KEYS)
-    counts = df.groupBy(*on).count().where(F.col("count") > bar)
-    return counts.select(*on, F.ceil(F.col("count") / bar).cast("int").alias("_parts"))
+    seen = Observation()
+    counts = df.groupBy(*on).count().observe(seen, F.sum("count").alias("rows"))
+    many = materialize(counts.where(F.col("count") > hot_rows), "hot_keys")
+    bar = max(hot_rows, (seen.get.get("rows") or 0) // MOST_HOT_KEYS)
+    return many.where(F.col("count") > bar).select(*on, F.ceil(F.col("count") / bar).cast("int").alias("_parts"))
 
 
 def spread_left_join(
@@ -41,14 +47,18 @@ def spread_left_join(
     and, as keys are unique on the right, none is doubled.
 
     Keys are counted in ``counted``: the written table that ``left`` was derived from, if
-    it has the key columns. Without it ``left`` is written once, as it is read twice.
+    it has the key columns. Without it ``left`` is written once, as it is read twice. Where no
+    key is hot the join is a plain one.
     """
     if counted is None:
         left = counted = materialize(left, "spread")
     known = F.lit(True)
     for k in on:
         known = known & F.col(k).isNotNull()
-    hot = F.broadcast(materialize(hot_keys(counted.select(*on).dropna(), on, hot_rows), "hot_keys"))
+    hot = hot_keys(counted.select(*on).dropna(), on, hot_rows)
+    if hot.isEmpty():
+        return left.where(known).join(right, list(on), "left").unionByName(left.where(~known), allowMissingColumns=True)
+    hot = F.broadcast(hot)
     part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int"), F.lit(0))
     parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     cut_left = left.where(known).join(hot, list(on), "left").withColumn("_part", part).drop("_parts")
@@ -66,22 +76,58 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
+def _megabytes(memory: str) -> float:
+    """A memory setting such as ``4g``; a bare number is in MB."""
+    unit = memory.strip().lower().rstrip("b")[-1:]
+    factor = {"k": 2**-10, "m": 1, "g": 2**10, "t": 2**20}.get(unit)
+    return float(memory.strip().lower().rstrip("bkmgt")) * (factor or 1)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes that a broadcast side may hold, from the heaps of this session."""
+    conf = spark.sparkContext.getConf()
+    heaps = [conf.get("spark.driver.memory", "1g")]
+    if not spark.sparkContext.master.startswith("local["):
+        heaps.append(conf.get("spark.executor.memory", "1g"))
+    return int(min(map(_megabytes, heaps)) * 2**20 * BROADCAST_SHARE)
+
+
+def fits_memory(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether ``df``, unfolded, holds at most ``max_bytes`` (default: :func:`broadcast_limit`).
+
+    Rows and the bytes of texts are summed per task, in one pass over a written table; nested values count as long as their JSON.
+    """
+    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
+    fixed, measured = ROW_BYTES, []
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            measured.append(F.octet_length(c))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            measured.append(F.octet_length(F.to_json(F.struct(c))))
+        else:
+            fixed += 16 if isinstance(f.dataType, T.DecimalType) else 8
+    texts = sum((F.coalesce(F.sum(m), F.lit(0)) for m in measured), F.lit(0))
+    rows, more = df.agg(F.count(F.lit(1)), texts).first()
+    return rows * (fixed + 8 * len(measured)) + more <= limit
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a table with unique keys.
 
-    ``right`` is measured: up to ``max_rows`` rows it is broadcast, so the
-    left side does not move; beyond that the join is a shuffle with hot keys
-    spread. Pass a materialised ``right`` with only the columns you need.
+    ``right`` is measured: up to ``max_bytes`` (default: a share of the heap, see
+    :func:`broadcast_limit`) it is broadcast, so the left side does not move; beyond that the join is
+    a shuffle with hot keys spread. Pass a materialised ``right`` with only the columns you need.
     """
-    if fits_broadcast(right, max_rows):
+    if fits_memory(right, max_bytes):
         return left.join(F.broadcast(right), list(on), "left")
     return spread_left_join(left, right, on, spread_by, hot_rows, counted)
 

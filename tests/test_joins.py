@@ -3,7 +3,8 @@ import random
 from pyspark.sql import functions as F
 
 from facetmill import schemas
-from facetmill.operators import distincts, joins
+from facetmill.operators import distincts, joins, rates
+from facetmill.session import materialize
 
 
 def test_resume_targets(spark, rows):
@@ -56,12 +57,46 @@ def test_lookup_join_gives_the_same_rows_by_broadcast_and_by_spreading(spark, ro
     right = spark.createDataFrame([("hot", 1), ("a", 2), ("b", 3), ("unused", 4)], "k string, v int")
     plain = rows(left.join(right, "k", "left").select("id", "k", "v"))
     small = joins.lookup_join(left, right, ["k"], ["id"])
-    spread = joins.lookup_join(left, right, ["k"], ["id"], max_rows=0, hot_rows=100)
+    spread = joins.lookup_join(left, right, ["k"], ["id"], max_bytes=0, hot_rows=100)
     assert rows(small.select("id", "k", "v")) == plain == rows(spread.select("id", "k", "v"))
     counted = joins.spread_left_join(left, right, ["k"], ["id"], 100, counted=left.select("k"))
     assert rows(counted.select("id", "k", "v")) == plain
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_are_chosen_by_bytes(spark, rows):
+    limit = joins.broadcast_limit(spark)
+    assert limit == 4 * 2**30 // 16, "the tests' driver has 4 GB, and no executor has less"
+    assert [joins._megabytes(m) for m in ("512", "512m", "1g", "2GB", "1024k", "1t")] == [512, 512, 1024, 2048, 1, 2**20]
+    # A million rates of 150 currencies are 88 MB: more than 200,000 rows, and still no reason to move the sales.
+    day = F.date_add(F.lit("2000-01-01").cast("date"), F.floor(F.col("id") / 150).cast("int"))
+    daily = materialize(spark.range(1_000_000).select(
+        F.date_format(day, "yyyyMMdd").cast("bigint").alias("date_key"), F.concat(F.lit("C"), F.col("id") % 150).alias("from_currency_code"),
+        F.lit(2).cast("decimal(38,9)").alias("exchange_rate"),
+    ), "daily")
+    lines = spark.createDataFrame(
+        [("o", "1", "C7", 20000102, 3, 5.0), ("o", "68", "C7", 20000102, 1, None), ("p", "2", None, 20000102, 1, 1.0)],
+        "order_id string, store_id string, country_currency string, order_date_key bigint, product_qty bigint, unit_price double",
+    ).withColumn("unit_price", F.col("unit_price").cast("decimal(18,6)"))
+    converted = rates.convert_lines(lines, daily, ["order_id"])
+    assert "BroadcastHashJoin" in _plan(converted) and "SortMergeJoin" not in _plan(converted)
+    assert sorted((r.order_id, r.currency_code, r.usd_amount and float(r.usd_amount)) for r in converted.collect()) == [("o", "C7", 7.5), ("o", "USD", None), ("p", None, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the planner's own choice aside
+    spread = joins.lookup_join(daily.select("date_key"), daily.groupBy("date_key").agg(F.count("*").alias("n")), ["date_key"], ["date_key"], max_bytes=1000, counted=daily)
+    assert "SortMergeJoin" in _plan(spread) or "ShuffledHashJoin" in _plan(spread)
+    assert "_part" not in spread.columns and spread.count() == 1_000_000
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_long_texts_count_for_what_they_hold(spark):
+    df = spark.createDataFrame([(1, "x" * 1000, [1, 2]), (2, None, None)], "k int, s string, a array<int>")
+    assert joins.fits_memory(df, 2000) and not joins.fits_memory(df, 1000)
+    assert joins.fits_memory(df.select("k"), 112) and not joins.fits_memory(df.select("k"), 111) and joins.fits_memory(df.limit(0), 0)
+
+
 def test_hot_key_is_split_over_salts(spark):
     left = spark.createDataFrame([(i, "hot" if i < 500 else str(i)) for i in range(1000)], "id int, k string")
     assert [r.k for r in joins.hot_keys(left, ["k"], 100).collect()] == ["hot"]
