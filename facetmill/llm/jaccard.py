@@ -2,8 +2,9 @@
 
 1. A document is the set of hashes of its shingles. Equal sets become one class, so exact copies cost one row.
 2. Two sets as similar as asked share one of the first few hashes of each (prefix filter, in hash order). Classes are filed
-   under those. Small buckets give their pairs; members of a large one are first paired with its least member only.
-3. Pairs pass a bound on their overlap from hashed bitmaps, then an exact intersection of sorted hashes.
+   under those. Small buckets give the pairs for which the hash can be the first that both share, as enough hashes follow in
+   either; members of a large bucket are first paired with its least member only.
+3. Pairs pass a bound on their overlap from hashed bitmaps, at first folded to 64 bytes, then an exact intersection of sorted hashes.
 4. Of large buckets, members that are still in different components are compared in size-banded tiles of
    bounded size by their bitmaps. Pairs inside one component are never listed, and no link between components is lost.
 """
@@ -17,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.joins import fits_broadcast
+from ..operators.joins import fits_broadcast, lookup_join
 from ..session import materialize
 from .components import components
 from .words import text_slices
@@ -28,6 +29,7 @@ PERCENT = 80
 SMALL_BUCKET = 24
 TILE = 1024
 BROADCAST_IDS = 500_000
+ROUGH_WORDS = 8  # of 64 bits, to which bitmaps are folded before they travel with pairs
 BAND = 1.26  # sizes of linked sets differ by less than one band and a bit
 SLICE = 1 << 20
 
@@ -81,26 +83,27 @@ def digest_of(own: np.ndarray) -> bytes | None:
 
 
 def set_table(docs: DataFrame, doc_id: str, text: str, percent: int, words: int) -> DataFrame:
-    """(doc_id, n, digest, prefix, bits) of every row. Sets without shingles have a null digest."""
+    """(doc_id, n, digest, prefix, bits, rough) of every row; ``rough`` are the bits folded. Sets without shingles have a null digest."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
             for batch in bounded(whole, "text"):
-                n, digest, prefix, bits = [], [], [], []
+                n, digest, prefix, bits, rough = [], [], [], [], []
                 for own in shingle_sets(batch["text"], words):
                     n.append(len(own))
                     digest.append(digest_of(own))
                     prefix.append(own[: prefix_length(len(own), percent)].view(np.int64) if len(own) else own.view(np.int64))
                     bits.append(bitmap(own) if len(own) else None)
+                    rough.append(fold(np.frombuffer(bits[-1], np.uint64), ROUGH_WORDS).tobytes() if len(own) else None)
                 offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"], pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix))), pa.array(bits, pa.binary())],
-                    names=["doc_id", "n", "digest", "prefix", "bits"],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix))), pa.array(bits, pa.binary()), pa.array(rough, pa.binary())],
+                    names=["doc_id", "n", "digest", "prefix", "bits", "rough"],
                 )
 
-    return map_batches(rows, run, "doc_id long, n int, digest binary, prefix array<long>, bits binary")
+    return map_batches(rows, run, "doc_id long, n int, digest binary, prefix array<long>, bits binary, rough binary")
 
 
 def texts_of(docs: DataFrame, varied: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -133,18 +136,30 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[new], high[new]
 
 
+def _first_shared(n: np.ndarray, i: np.ndarray, m: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a hash at places i and j of sets of sizes n and m can be the first they share, if they are similar enough.
+
+    Hashes are in order, so what both share lies from there on. Similar sets pass it at the first hash they share.
+    """
+    return _fits(n, m, percent) & (np.minimum(n - i, m - j) >= least_overlap(n, m, percent))
+
+
 def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> DataFrame:
-    """(large, x, y, n): pairs x < y of classes in small buckets, or (token, class, its size) of large ones. ``index``: token, rep, n, by token."""
+    """(large, x, y, n, at): pairs x < y of classes in small buckets, or (token, class, its size, the token's place) of large ones. ``index``: token, rep, n, at, by token.
+
+    ``at`` is the token's place in the class's set.
+    """
 
     def run(batches: Batches) -> Batches:
-        token, rep, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        token, rep, n, place = (np.zeros(0, np.int64) for _ in range(4))
         large = None  # token of a bucket already found large
 
-        def out(kind: bool, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
-            n = np.zeros(len(x), np.int64) if n is None else n
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind)), pa.array(x), pa.array(y), pa.array(n)], names=["large", "x", "y", "n"])
+        def out(kind: bool, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, at: np.ndarray | None = None) -> pa.RecordBatch:
+            none = np.zeros(len(x), np.int64)
+            columns = [np.full(len(x), kind), x, y, none if n is None else n, none if at is None else at]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["large", "x", "y", "n", "at"])
 
-        def work(token, rep, n, last: bool):
+        def work(token, rep, n, place, last: bool):
             """Rows of complete buckets; returns what is emitted and where the unfinished bucket begins."""
             nonlocal large
             end = len(token) if last else int(np.searchsorted(token, token[-1], "left"))
@@ -152,14 +167,14 @@ def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> D
                 end, large_after = len(token), token[-1]
             else:
                 large_after = None
-            t, r, m = token[:end], rep[:end], n[:end]
+            t, r, m, at = token[:end], rep[:end], n[:end], place[:end]
             start = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1]))) if end else np.zeros(0, np.int64)
             size = np.repeat(np.diff(np.append(start, end)), np.diff(np.append(start, end)))
             big = (size > small) | (t == large if large is not None else False)
-            emitted = [out(True, t[big], r[big], m[big])]
+            emitted = [out(True, t[big], r[big], m[big], at[big])]
             a, b = [], []
             for d in range(1, small):
-                hit = np.flatnonzero((t[d:] == t[:-d]) & ~big[d:] & _fits(m[d:], m[:-d], percent) & (r[d:] != r[:-d]))
+                hit = np.flatnonzero((t[d:] == t[:-d]) & ~big[d:] & _first_shared(m[d:], at[d:], m[:-d], at[:-d], percent) & (r[d:] != r[:-d]))
                 if not len(hit) and not (t[d:] == t[:-d]).any():
                     break
                 a.append(r[hit])
@@ -171,23 +186,26 @@ def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> D
             return emitted, end
 
         for batch in batches:
-            token = np.concatenate((token, batch["token"].to_numpy()))
-            rep = np.concatenate((rep, batch["rep"].to_numpy()))
-            n = np.concatenate((n, batch["n"].to_numpy()))
+            token, rep, n, place = (np.concatenate((x, batch[c].to_numpy().astype(np.int64))) for x, c in ((token, "token"), (rep, "rep"), (n, "n"), (place, "at")))
             if len(token):
-                emitted, end = work(token, rep, n, False)
+                emitted, end = work(token, rep, n, place, False)
                 yield from emitted
-                token, rep, n = token[end:], rep[end:], n[end:]
+                token, rep, n, place = token[end:], rep[end:], n[end:], place[end:]
         if len(token):
-            yield from work(token, rep, n, True)[0]
+            yield from work(token, rep, n, place, True)[0]
 
-    return map_batches(index, run, "large boolean, x long, y long, n long")
+    return map_batches(index, run, "large boolean, x long, y long, n long, at long")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose overlap, bounded by their bitmaps, may suffice."""
-    side = lambda k: classes.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"))
-    rows = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    """Distinct pairs (a, b) whose overlap, bounded by their bitmaps, may suffice. Few pass the folded ones; only for those whole bitmaps move."""
+    rough = materialize(_bounded(pairs.distinct(), classes, percent, "rough"), "likely")
+    return _bounded(rough, classes, percent, "bits")
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int, bits: str) -> DataFrame:
+    side = lambda k: classes.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col(bits).alias(f"bits_{k}"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -235,7 +253,7 @@ def _tiles(large: DataFrame, labels: DataFrame, tile_rows: int) -> DataFrame:
 
     Tile (low, i, j) holds the pairs of part i of band ``low`` with part j of the same band (if i <= j) and of the next band.
     """
-    members = large.select(F.col("x").alias("token"), F.col("y").alias("rep"), "n")
+    members = large.select(F.col("x").alias("token"), F.col("y").alias("rep"), "n", F.col("at").alias("place"))
     members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     members = members.withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
     members = materialize(members, "members")
@@ -256,18 +274,18 @@ def _tiles(large: DataFrame, labels: DataFrame, tile_rows: int) -> DataFrame:
         F.transform(F.filter(every, lambda s: s < tile), lambda s: place(F.col("band"), s, tile)),
         F.transform(every, lambda s: place(F.col("band") - 1, s, tile)),
     )
-    return rows.withColumn("at", F.explode(places)).select("token", "rep", "n", "label", "band", "tile", "at.*")
+    return rows.withColumn("at", F.explode(places)).select("token", "rep", "n", "place", "label", "band", "tile", "at.*")
 
 
 def tile_pairs(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within a tile whose bitmaps leave the overlap possible."""
+    """Pairs (a, b) of different components within a tile that the token and their bitmaps leave possible."""
     rows = tiles.join(classes.select("rep", "bits"), "rep")
     key = ["token", "low", "i", "j"]
     rows = rows.repartition(*key).sortWithinPartitions(*key)
 
     def compare(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         low, one, two = (t[c][0].as_py() for c in ("low", "i", "j"))
-        rep, n, label, band, tile = (t[c].to_numpy() for c in ("rep", "n", "label", "band", "tile"))
+        rep, n, place, label, band, tile = (t[c].to_numpy() for c in ("rep", "n", "place", "label", "band", "tile"))
         left = np.flatnonzero((band == low) & (tile == one))
         same = np.flatnonzero((band == low) & (tile == two)) if one < two else np.zeros(0, np.int64)
         right = np.concatenate((same, np.flatnonzero((band == low + 1) & (tile == two))))
@@ -281,7 +299,7 @@ def tile_pairs(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         a, b = [none], [none]
         for at, i in enumerate(left):
             others = np.concatenate((left[at + 1:], right)) if one == two else right
-            others = others[(label[others] != label[i]) & _fits(n[others], n[i], percent)]
+            others = others[(label[others] != label[i]) & _first_shared(n[others], place[others], n[i], place[i], percent)]
             if len(others):
                 more = np.bitwise_count(maps[i] & ~maps[others]).sum(axis=1, dtype=np.int64)
                 less = np.bitwise_count(maps[others] & ~maps[i]).sum(axis=1, dtype=np.int64)
@@ -353,20 +371,21 @@ def group(
         edges = materialize(held.join(small(hubs), "doc_id").filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "links")
     if not repeated.isEmpty():
         classes = classes.dropDuplicates(["rep", "digest"])
-    classes = materialize(classes.select("rep", "n", "prefix", "bits"), "sets")
-    index = classes.select(F.explode("prefix").alias("token"), "rep", F.col("n").cast("long").alias("n"))
+    classes = materialize(classes.select("rep", "n", "prefix", "bits", "rough"), "sets")
+    index = classes.select(F.posexplode("prefix").alias("at", "token"), "rep", "n")
     index = index.repartition("token").sortWithinPartitions("token")
     found = materialize(bucket_pairs(index, percent, small_bucket), "buckets")
     large = found.filter("large")
     least = large.groupBy("x").agg(F.min(F.struct("y", "n")).alias("least"))
-    fits = F.lit(100) * F.least("n", "least.n") >= F.lit(percent) * F.greatest("n", "least.n")
-    stars = large.join(least, "x").filter((F.col("y") != F.col("least.y")) & fits).select(F.col("least.y").alias("a"), F.col("y").alias("b"))
+    least = materialize(least.select("x", F.col("least.y").alias("a"), F.col("least.n").alias("m")), "least")
+    fits = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
+    stars = lookup_join(large, least, ["x"], ["y"], counted=large).filter((F.col("y") != F.col("a")) & fits).select("a", F.col("y").alias("b"))
     pairs = found.filter("not large").select(F.col("x").alias("a"), F.col("y").alias("b")).union(stars)
     links = materialize(linked(materialize(likely(pairs, classes, percent), "likely"), texts, "doc_id", "text", percent, words), "links")
     links = links if edges is None else links.union(edges)
     labels = components(links)
     if not large.isEmpty():
-        more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent)
+        more = tile_pairs(_tiles(large, labels, tile_rows), classes, percent).distinct()
         more = materialize(linked(materialize(more, "likely"), texts, "doc_id", "text", percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
