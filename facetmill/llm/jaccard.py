@@ -385,7 +385,7 @@ def group(
     links = links if edges is None else links.union(edges)
     labels = components(links)
     if not large.isEmpty():
-        more = tile_pairs(_tiles(large, labels, tile_rows), classes, percent).distinct()
+        more = _bounded(tile_pairs(_tiles(large, labels, tile_rows), classes, percent).distinct(), classes, percent, "bits")
         more = materialize(linked(materialize(more, "likely"), texts, "doc_id", "text", percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
