@@ -28,7 +28,9 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_EMAIL_PART = re.compile(r"[A-Za-z0-9._%+@-]*")
+#: Parts of them, for search in linear time: what follows an ``@``, and all groups of digits with single dots between.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_GROUPS = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 
 LABELS = ("O", "B-EMAIL", "I-EMAIL", "IP", "B-CARD", "I-CARD", "B-PHONE", "I-PHONE")
 GAPS = " \t\n\x0b\x0c\r"
@@ -69,24 +71,35 @@ def _digits(text: str) -> str:
 
 
 def _emails(text: str) -> Iterator[Span]:
-    """The pattern's matches. It is only run on the maximal stretches of its characters that hold an ``@``."""
+    """The pattern's matches: whether one stands around an ``@`` depends on what follows it, and it begins as early as it can."""
     done, at = 0, text.find("@")
     while at >= 0:
-        low = at
-        while low > done and (c := text[low - 1]) < "\x80" and (c.isalnum() or c in "._%+-@"):
-            low -= 1
-        high = _EMAIL_PART.match(text, at).end()
-        for m in EMAIL.finditer(text[low:high]):
-            yield low + m.start(), 0, low + m.end()
-        done, at = high, text.find("@", high)
+        end = at + 1
+        if m := _DOMAIN.match(text, at + 1):
+            low = at
+            while low > done and (c := text[low - 1]) < "\x80" and (c.isalnum() or c in "._%+-"):
+                low -= 1
+            if low < at:
+                yield low, 0, m.end()
+                done = end = m.end()
+        at = text.find("@", end)
+
+
+def _addresses(text: str) -> Iterator[Span]:
+    """The pattern's matches with parts of at most 255: groups of digits are taken by fours, from the first of each chain."""
+    for m in _GROUPS.finditer(text):
+        groups, low = m.group().split("."), m.start()
+        for i in range(0, len(groups) - 3, 4):
+            four = groups[i:i + 4]
+            high = low + sum(map(len, four)) + 3
+            if all(len(p) < 4 and int(p or 0) <= 255 for p in (g.lstrip("0") for g in four)):
+                yield low, 1, high
+            low = high + 1
 
 
 def base_spans(text: str) -> list[Span]:
     """Leftmost matches of each kind that pass its check, by start and kind."""
-    out = list(_emails(text))
-    for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split(".")):
-            out.append((m.start(), 1, m.end()))
+    out = [*_emails(text), *_addresses(text)]
     for m in CARD.finditer(text):
         if 14 <= m.end() - m.start() and 14 <= len(d := _digits(m.group())) <= 19 and luhn(d):
             out.append((m.start(), 2, m.end()))
@@ -101,11 +114,14 @@ def _spelled(text: str) -> Iterator[tuple[int, int]]:
     if "dot" in text or "DOT" in text or "Dot" in text:
         for m in _SPELLED.finditer(text):
             yield from (w.span() for w in _WORD.finditer(text, *m.span()))
+    done = 0
     for m in _BRACKETED.finditer(text):
         low, high = m.span()
+        if low < done:
+            continue  # in the word of the one before
         while low and text[low - 1] not in GAPS:
             low -= 1
-        high = w.end() if (w := _WORD.match(text, high)) else high
+        done = high = w.end() if (w := _WORD.match(text, high)) else high
         yield low, high
         if (low, high) == m.span():
             # A bracketed word of its own: the words beside it belong to it.
