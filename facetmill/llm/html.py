@@ -1,9 +1,10 @@
 """Main text of web pages: site templates and page furniture go, the article's blocks stay.
 
-A page is parsed once, into the blocks of its main part without furniture; every block names the hashes of the element
-subtrees it lies in. Spark counts, per host, with how many different bodies each subtree occurs (an article published
-twice counts once); subtrees that recur on a good part of a host's pages are its template, and their blocks are deleted. The same is
-counted per section of a host, where the pages that hold a subtree differ otherwise.
+A page is parsed once, into the blocks of its main part without furniture and the element subtrees that hold them, each as a hash and the
+range of its blocks. Spark counts, per host, with how many different bodies each subtree occurs (an article published
+twice counts once); subtrees that recur on a good part of a host's pages are its template, and their blocks are deleted. Inside article
+elements that asks for a second sign, that the pages around it differ otherwise. The same is counted per section of a host, where the pages that hold
+a subtree differ otherwise.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from xxhash import xxh64_intdigest
 
 from ..operators.joins import fits_broadcast, spread_left_join
@@ -26,6 +27,8 @@ from .workers import Batches, bounded, map_batches
 LEAST_PAGES = 5
 LEAST_SHARE = 0.3
 LEAST_SHARE_IN_ARTICLE = 0.6
+#: What recurs in articles goes if half of the bodies around it have so many times as much text of their own.
+OWN_TIMES = 3
 #: Sections (first folder of the path) of so many bodies are also counted by themselves, as sub-sites have layouts of their own.
 LEAST_IN_SECTION = 10
 BROADCAST_HOSTS = 100_000
@@ -40,6 +43,7 @@ INLINE = {
 }
 #: Elements that an opening tag of the key ends, if they are open.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+ENDED = set().union(*ENDS.values())
 #: Words in a class or id that may mark furniture, and values of a role that do.
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
@@ -54,9 +58,10 @@ COMMENT = re.compile(r"(?:^|\s)comment(?:$|[\s_-])", re.IGNORECASE)
 DOUBTFUL, SURE = 1, 2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTRIBUTE = re.compile(r"(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _BARE = re.compile(r"(?:^|\s)(hidden)(?:\s|/|$)")
 _SPACE = re.compile(r"\s+")
+_LONG_REFERENCE = re.compile(r"&#([0-9]{20,})")
 _TELLING = re.compile(r"class|id|role|style|hidden", re.IGNORECASE)
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 
@@ -101,26 +106,25 @@ def _attributes(text: str) -> tuple[int, str, bool]:
 def parse(html: str) -> Node:
     """A tree from any text: unclosed elements end with their parent, stray end tags are skipped, a cut-off tag is markup."""
     root = Node("")
-    stack = [root]
+    stack = _Open(root)
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
-            stack[-1].parts.append(html[at:])
+            stack.top.parts.append(html[at:])
             break
         if m.start() > at:
-            stack[-1].parts.append(html[at:m.start()])
+            stack.top.parts.append(html[at:m.start()])
         at = m.end()
         if m.group(2) is None:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if stack.count.get(tag):
+                while stack.pop().tag != tag:
+                    pass
             continue
-        _open(stack, tag, m.group(3))
+        stack.open(tag, m.group(3))
         if tag in RAW and not m.group(3).endswith("/"):
             # Their content is text up to the end tag, whatever it looks like.
             end = _RAW_END[tag].search(html, at)
@@ -131,25 +135,58 @@ def parse(html: str) -> Node:
     return root
 
 
-def _open(stack: list[Node], tag: str, attributes: str) -> None:
-    if tag not in INLINE:
-        # A block ends the open paragraph, with what is open inside it.
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag == "p":
-                del stack[depth:]
-                break
-            if stack[depth].tag not in INLINE:
-                break
-    ended = ENDS.get(tag, ())
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag in ended:
-            del stack[depth:]
-            break
-        if stack[depth].tag in ("ul", "ol", "table", "dl", "select", "article", "div", "body"):
-            break
-    node = Node(tag, *_attributes(attributes))
-    stack[-1].parts.append(node)
-    stack.append(node)
+class _Open:
+    """The open elements. Nothing is looked for that is not there, so that every element is passed once for each time it is closed.
+
+    ``blocks``: depths of the open elements that are not inline; ``bounds``: of those that keep an end inside them.
+    """
+
+    BOUNDS = {"ul", "ol", "table", "dl", "select", "article", "div", "body"}
+
+    def __init__(self, root: Node):
+        self.nodes, self.count = [root], {}
+        self.blocks, self.bounds, self.ended = [], [], []
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def pop(self) -> Node:
+        node = self.nodes.pop()
+        depth = len(self.nodes)
+        self.count[node.tag] -= 1
+        for depths in (self.blocks, self.bounds, self.ended):
+            if depths and depths[-1] == depth:
+                depths.pop()
+        return node
+
+    def close_to(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            self.pop()
+
+    def open(self, tag: str, attributes: str) -> None:
+        if tag not in INLINE and self.blocks and self.nodes[self.blocks[-1]].tag == "p":
+            # A block ends the open paragraph, with what is open inside it.
+            self.close_to(self.blocks[-1])
+        ends = ENDS.get(tag)
+        if ends:
+            bound = self.bounds[-1] if self.bounds else 0
+            for depth in reversed(self.ended):
+                if depth <= bound:
+                    break
+                if self.nodes[depth].tag in ends:
+                    self.close_to(depth)
+                    break
+        node, depth = Node(tag, *_attributes(attributes)), len(self.nodes)
+        self.top.parts.append(node)
+        self.nodes.append(node)
+        self.count[tag] = self.count.get(tag, 0) + 1
+        if tag not in INLINE:
+            self.blocks.append(depth)
+        if tag in self.BOUNDS:
+            self.bounds.append(depth)
+        if tag in ENDED:
+            self.ended.append(depth)
 
 
 def is_furniture(node: Node) -> bool:
@@ -250,26 +287,32 @@ def judge(tops: list[Node]) -> None:
             node.cut = True
 
 
-def blocks(html: str) -> list[tuple[str, list[int]]]:
-    """The blocks of the main part without furniture, in page order: text, and the subtrees that hold it.
+Part = tuple[list[str], list[tuple[int, int, int]]]
+
+
+def main_part(html: str) -> Part:
+    """The blocks of the main part without furniture, in page order, and the subtrees that hold them: (hash, first block, block behind the last).
 
-    The last bit of a subtree's hash says whether it lies in an article element.
+    The last bit of a subtree's hash says whether it lies in an article element. Time and memory follow the length of the page,
+    however deep it is.
     """
     root = parse(html)
     weigh(root)
     tops = _body(root)
     judge(tops)
     hash_subtrees(tops)
-    out: list[tuple[str, list[int]]] = []
+    out: list[str] = []
+    spans: list[tuple[int, int, int]] = []
     line: list[str] = []
-    around: list[int] = []
-    within: list[bool] = []  # whether the open elements lie in an article element
+    around: list[tuple[int, int, bool]] = []  # of the open elements: hash, first block, whether in an article element
 
     def close() -> None:
-        text = _SPACE.sub(" ", unescape("".join(line))).strip()
+        # References of thousands of digits name no character either.
+        text = _LONG_REFERENCE.sub(lambda m: f"&#{m[1].lstrip('0')[:20] or 0}", "".join(line))
+        text = _SPACE.sub(" ", unescape(text)).strip()
         line.clear()
         if text:
-            out.append((text, list(around)))
+            out.append(text)
 
     for top in tops:
         todo: list[Node | str | None] = [top]
@@ -277,8 +320,9 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
             part = todo.pop()
             if part is None:
                 close()
-                around.pop()
-                within.pop()
+                code, first, _ = around.pop()
+                if code >= 0 and first < len(out):
+                    spans.append((code, first, len(out)))
             elif isinstance(part, str):
                 line.append(part)
             elif part is not top and is_furniture(part):
@@ -291,28 +335,65 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
             else:
                 close()
                 todo.append(None)
-                in_article = part.part == "article" or bool(within and within[-1])
-                within.append(in_article)
+                in_article = part.part == "article" or bool(around and around[-1][2])
                 # The main part as a whole, and what holds it, is no template.
-                around.append(part.code << 1 | in_article if part is not top and part.tag not in ("html", "body") else -1)
+                code = part.code << 1 | in_article if part is not top and part.tag not in ("html", "body") else -1
+                around.append((code, len(out), in_article))
                 todo += reversed(part.parts)
         close()
-    return [(text, [c for c in codes if c >= 0]) for text, codes in out]
+    return out, spans
+
+
+def blocks(html: str) -> list[tuple[str, list[int]]]:
+    """The blocks of :func:`main_part`, each with the hashes of the subtrees that hold it, from the outermost in."""
+    texts, spans = main_part(html)
+    held: list[list[int]] = [[] for _ in texts]
+    for code, first, end in reversed(spans):
+        for at in range(first, end):
+            held[at].append(code)
+    return list(zip(texts, held))
+
+
+def _codes(spans: Column) -> Column:
+    return F.array_distinct(F.transform(spans, lambda s: s["code"]))
+
+
+def _left(texts: Column, spans: Column, gone: Column) -> Column:
+    """The texts without those in subtrees of ``gone``."""
+    cut = F.filter(spans, lambda s: F.array_contains(gone, s["code"]))
+    inside = lambda i: F.exists(cut, lambda s: (s["first"] <= i) & (i < s["end"]))
+    return F.when(F.size(cut) == 0, texts).otherwise(F.filter(texts, lambda _, i: ~inside(i)))
+
+
+def _length(texts: Column) -> Column:
+    return F.aggregate(texts, F.lit(0).cast("long"), lambda n, t: n + F.length(t))
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(_host, template): hashes of the subtrees that recur across a host's pages. ``pages``: _host, _blocks.
+    """(_host, template): hashes of the subtrees that recur across a host's pages. ``pages``: _host, _texts, _spans.
 
     Each task counts its own pages before anything moves, so a host with a third of all pages is no heavier than others.
+    Near copies of one article share paragraphs: what recurs inside articles must be a small part of the pages that hold it.
     """
-    codes = F.array_distinct(F.flatten(F.transform("_blocks", lambda b: b["codes"])))
-    body = F.xxhash64(F.transform("_blocks", lambda b: b["text"]))
-    seen = pages.select("_host", body.alias("body"), F.explode(F.concat(F.array(F.lit(-1).cast("bigint")), codes)).alias("code"))
+    codes = _codes(F.col("_spans"))
+    seen = pages.select("_host", F.xxhash64("_texts").alias("body"), F.explode(F.concat(F.array(F.lit(-1).cast("bigint")), codes)).alias("code"))
     counts = seen.distinct().groupBy("_host", "code").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= LEAST_PAGES)
     counts = materialize(counts, "subtrees")
     hosts = counts.filter("code = -1").select("_host", F.col("c").alias("pages"))
     share = F.when(F.col("code") % 2 == 1, LEAST_SHARE_IN_ARTICLE).otherwise(LEAST_SHARE)
     often = counts.filter("code <> -1").join(hosts, "_host").filter(F.col("c") >= share * F.col("pages"))
+    often = materialize(often.select("_host", "code", "c"), "often")
+    inside = F.col("code") % 2 == 1
+    per_host = often.groupBy("_host").agg(F.collect_list("code").alias("often"), F.collect_list(F.when(inside, F.col("code"))).alias("inside"))
+    per_host = materialize(per_host.filter(F.size("inside") > 0), "often")
+    if not per_host.isEmpty():
+        rows = pages.join(_few(per_host), "_host").withColumn("codes", F.array_intersect(codes, "inside")).filter(F.size("codes") > 0)
+        whole, own = _length(F.col("_texts")), _length(_left(F.col("_texts"), F.col("_spans"), F.col("often")))
+        recurs = whole - _length(_left(F.col("_texts"), F.col("_spans"), F.col("inside")))
+        differ = rows.filter(own >= OWN_TIMES * recurs).select("_host", F.xxhash64("_texts").alias("body"), F.explode("codes").alias("code"))
+        held = differ.distinct().groupBy("_host", "code").agg(F.count(F.lit(1)).alias("d"))
+        kept = often.filter(inside).join(held, ["_host", "code"]).filter(2 * F.col("d") >= F.col("c"))
+        often = often.filter(~inside).select("_host", "code").unionByName(kept.select("_host", "code"))
     return often.groupBy("_host").agg(F.collect_list("code").alias("template"))
 
 
@@ -334,10 +415,14 @@ def section_templates(pages: DataFrame, found: DataFrame) -> DataFrame | None:
     if mixed.isEmpty():
         return None
     none = F.array().cast("array<bigint>")
-    body = F.xxhash64(F.transform("_blocks", lambda b: b["text"]))
     rows = pages.join(_few(mixed), key, "left_semi").join(_few(found), "_host", "left")
-    rows = rows.select(*key, body.alias("body"), F.filter("_blocks", lambda b: ~F.arrays_overlap(b["codes"], F.coalesce("template", none))).alias("left"))
-    codes = F.array_distinct(F.flatten(F.transform("left", lambda b: b["codes"])))
+    # Subtrees all of whose blocks the templates take are no longer there.
+    gone = F.coalesce("template", none)
+    cut = F.filter("_spans", lambda s: F.array_contains(F.col("gone"), s["code"]))
+    rows = rows.withColumn("gone", gone).withColumn("cut", cut)
+    still = F.filter("_spans", lambda s: ~F.exists("cut", lambda t: (t["first"] <= s["first"]) & (s["end"] <= t["end"])))
+    rows = rows.select(*key, F.xxhash64("_texts").alias("body"), "_texts", "_spans", "gone", still.alias("still"))
+    codes = _codes(F.col("still"))
     seen = rows.select(*key, "body", F.explode(F.concat(F.array(F.lit(-1).cast("bigint")), codes)).alias("code"))
     counts = materialize(seen.distinct().groupBy(*key, "code").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= LEAST_IN_SECTION), "subtrees")
     share = F.when(F.col("code") % 2 == 1, LEAST_SHARE_IN_ARTICLE).otherwise(LEAST_SHARE)
@@ -346,10 +431,9 @@ def section_templates(pages: DataFrame, found: DataFrame) -> DataFrame | None:
     often = materialize(often.groupBy(*key).agg(F.collect_list("code").alias("often")), "often")
     if often.isEmpty():
         return None
-    length = lambda recurs: F.aggregate(
-        F.filter("left", lambda b: F.arrays_overlap(b["codes"], F.col("often")) == F.lit(recurs)), F.lit(0), lambda n, b: n + F.length(b["text"])
-    )
-    differ = rows.join(_few(often), key).filter(length(False) >= length(True))
+    left = _length(_left(F.col("_texts"), F.col("_spans"), F.col("gone")))
+    own = _length(_left(F.col("_texts"), F.col("_spans"), F.concat("gone", "often")))
+    differ = rows.join(_few(often), key).filter(own >= left - own)
     held = differ.select(*key, "body", F.explode(F.array_intersect(codes, "often")).alias("code")).distinct().groupBy(*key, "code").agg(F.count(F.lit(1)).alias("d"))
     good = held.join(counts, [*key, "code"]).filter(2 * F.col("d") >= F.col("c"))
     return materialize(good.groupBy(*key).agg(F.collect_list("code").alias("section_template")), "templates")
@@ -365,18 +449,25 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
         F.struct(*[F.col(f"`{k}`") for k in keep]).alias("_row"), host_of(F.col(f"`{url}`")).alias("_host"),
         F.xxhash64(F.regexp_extract(F.col(f"`{url}`"), r"^[^/?#]*//[^/?#]*/([^/?#]+)/", 1)).alias("_section"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html"),
     )
-    kind = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("codes", T.ArrayType(T.LongType()))]))
-    schema = T.StructType([rows.schema["_row"], T.StructField("_host", T.StringType()), T.StructField("_section", T.LongType()), T.StructField("_blocks", kind)])
+    kind = T.ArrayType(T.StructType([T.StructField("code", T.LongType()), T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    schema = T.StructType([
+        rows.schema["_row"], T.StructField("_host", T.StringType()), T.StructField("_section", T.LongType()),
+        T.StructField("_texts", T.ArrayType(T.StringType())), T.StructField("_spans", kind),
+    ])
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
             for batch in bounded(whole, "_html"):
-                found = [blocks(h) for h in batch["_html"].to_pylist()]
-                texts = pa.array([t for page in found for t, _ in page], pa.string())
-                codes = pa.array([c for page in found for _, c in page], pa.list_(pa.int64()))
-                offsets = pa.array(np.concatenate(([0], np.cumsum([len(page) for page in found]))).astype(np.int32))
-                held = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([texts, codes], ["text", "codes"]))
-                yield pa.RecordBatch.from_arrays([batch["_row"], batch["_host"], batch["_section"], held], names=["_row", "_host", "_section", "_blocks"])
+                found = [main_part(h) for h in batch["_html"].to_pylist()]
+                spans = np.array([s for _, held in found for s in held], np.int64).reshape(-1, 3)
+                held = pa.StructArray.from_arrays(
+                    [pa.array(spans[:, 0]), pa.array(spans[:, 1].astype(np.int32)), pa.array(spans[:, 2].astype(np.int32))], ["code", "first", "end"]
+                )
+                offsets = pa.array(np.concatenate(([0], np.cumsum([len(held) for _, held in found]))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["_row"], batch["_host"], batch["_section"], pa.array([t for t, _ in found], pa.list_(pa.string())), pa.ListArray.from_arrays(offsets, held)],
+                    names=["_row", "_host", "_section", "_texts", "_spans"],
+                )
 
     parsed = materialize(map_batches(rows, run, schema), "blocks")
     found = materialize(templates(parsed), "templates")
@@ -393,8 +484,8 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html", url: str = "u
         else:
             joined = spread_left_join(joined, sections, ["_host", "_section"], ["_row"], counted=parsed)
         template = F.concat(template, F.coalesce("section_template", none))
-    kept = F.filter("_blocks", lambda b: ~F.arrays_overlap(b["codes"], template))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
+    joined = joined.withColumn("_gone", template)
+    text = F.array_join(_left(F.col("_texts"), F.col("_spans"), F.col("_gone")), "\n\n")
     return joined.select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], text.alias("_text"))
 
 

@@ -49,5 +49,5 @@ def test_entry_points():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
     assert corpus_pipeline.ORACLE_SQL is None
