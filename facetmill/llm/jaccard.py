@@ -2,8 +2,8 @@
 
 1. A document is the set of hashes of its shingles. Equal sets become one class, so exact copies cost one row.
 2. Two sets as similar as asked share one of the first few hashes of each (prefix filter, in hash order). Classes are filed
-   under those. Small buckets give the pairs for which the hash can be the first that both share, as enough hashes follow in
-   either; members of a large bucket are first paired with its least member only.
+   under those. Members of a bucket are first paired with its least member, which joins most of what is similar. Small buckets also
+   give the pairs for which the hash can be the first that both share, as enough hashes follow in either.
 3. Pairs pass a bound on their overlap from hashed bitmaps, at first folded to 64 bytes, then an exact intersection of sorted hashes.
 4. Of large buckets, members that are still in different components are compared in size-banded tiles of
    bounded size by their bitmaps. Pairs inside one component are never listed, and no link between components is lost.
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.joins import fits_broadcast, lookup_join
 from ..session import materialize
 from .components import components
+from .names import apart
 from .words import text_slices
 from .workers import Batches, bounded, map_batches
 
@@ -173,8 +174,10 @@ def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> D
             big = (size > small) | (t == large if large is not None else False)
             emitted = [out(True, t[big], r[big], m[big], at[big])]
             a, b = [], []
+            head = np.concatenate(([True], t[1:] != t[:-1])) if end else np.zeros(0, bool)
             for d in range(1, small):
-                hit = np.flatnonzero((t[d:] == t[:-d]) & ~big[d:] & _first_shared(m[d:], at[d:], m[:-d], at[:-d], percent) & (r[d:] != r[:-d]))
+                first = head[:-d] & _fits(m[d:], m[:-d], percent) | _first_shared(m[d:], at[d:], m[:-d], at[:-d], percent)
+                hit = np.flatnonzero((t[d:] == t[:-d]) & ~big[d:] & first & (r[d:] != r[:-d]))
                 if not len(hit) and not (t[d:] == t[:-d]).any():
                     break
                 a.append(r[hit])
@@ -373,7 +376,7 @@ def group(
         classes = classes.dropDuplicates(["rep", "digest"])
     classes = materialize(classes.select("rep", "n", "prefix", "bits", "rough"), "sets")
     index = classes.select(F.posexplode("prefix").alias("at", "token"), "rep", "n")
-    index = index.repartition("token").sortWithinPartitions("token")
+    index = index.repartition("token").sortWithinPartitions("token", "rep")
     found = materialize(bucket_pairs(index, percent, small_bucket), "buckets")
     large = found.filter("large")
     least = large.groupBy("x").agg(F.min(F.struct("y", "n")).alias("least"))
@@ -385,7 +388,7 @@ def group(
     links = links if edges is None else links.union(edges)
     labels = components(links)
     if not large.isEmpty():
-        more = _bounded(tile_pairs(_tiles(large, labels, tile_rows), classes, percent).distinct(), classes, percent, "bits")
+        more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent)
         more = materialize(linked(materialize(more, "likely"), texts, "doc_id", "text", percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
@@ -410,8 +413,12 @@ def digest(docs: DataFrame) -> DataFrame:
     return group(docs)
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **names) -> DataFrame:
-    """The rows of ``docs`` without those linked to a document of smaller id. Rows that repeat an id count once; columns unchanged."""
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
+    """The rows of ``docs`` without those linked to a document of smaller id. Rows that repeat an id count once; columns unchanged, whatever their names."""
+    return apart(docs, lambda d, **names: _keep_one(d, **names, **limits), doc_id=doc_id, text=text)
+
+
+def _keep_one(docs: DataFrame, doc_id: str, **names) -> DataFrame:
     grouped = materialize(group(docs, doc_id, **names), "groups")
     gone = materialize(grouped.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     kept = docs.join(small(gone), F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
