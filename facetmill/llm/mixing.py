@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import lookup_join
 from ..session import materialize
+from .names import apart
 
 #: Source weights by code-point order of the source, repeating; null comes last.
 WEIGHTS = (3, 1, 2)
@@ -92,8 +93,12 @@ def plan(docs: DataFrame, keep: list[str], doc_id="doc_id", source="source", tex
     )
 
 
-def mix(docs: DataFrame, **names) -> DataFrame:
-    """The mix itself: every document as often as the plan says, columns unchanged."""
+def mix(docs: DataFrame, doc_id="doc_id", source="source", text="text", seed: str = SEED) -> DataFrame:
+    """The mix itself: every document as often as the plan says, columns unchanged, whatever their names."""
+    return apart(docs, lambda d, **names: _mix(d, seed=seed, **names), doc_id=doc_id, source=source, text=text)
+
+
+def _mix(docs: DataFrame, **names) -> DataFrame:
     planned = plan(docs, list(docs.columns), **names)
     times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
     return planned.filter("_copies > 0").withColumn("_copy", times).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .names import apart
 from .workers import Batches, bounded, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
@@ -485,7 +486,11 @@ def detect(docs: DataFrame, keep: list[str], text: str = "text", table=None) ->
 
 
 def mask(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
-    """``docs`` with personal data replaced by its kind; ``length`` names a column that holds the text's length."""
+    """``docs`` with personal data replaced by its kind; ``length`` names a column that holds the text's length. Other columns may have any name."""
+    return apart(docs, _mask, text=text, length=length)
+
+
+def _mask(docs: DataFrame, text: str, length: str | None = None) -> DataFrame:
     found = detect(docs, list(docs.columns), text)
     body = F.coalesce("_masked", F.col(f"`{text}`"))
     new = {text: body} | ({length: F.when(F.col("_masked").isNotNull(), F.length("_masked")).otherwise(F.col(f"`{length}`"))} if length else {})

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from .names import apart
 
 #: Code points that separate words, and the symbols of the symbol rule (fixed by the query's contract).
 WORD_GAP = r"[ \t-\r]+"
@@ -193,10 +194,14 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def filter_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, columns unchanged.
+    """The rows of ``docs`` that are kept, columns unchanged, whatever their names.
 
     Measures are taken twice, for the model and for its use: that costs no second copy of the texts.
     """
+    return apart(docs, _filter_good, text=text)
+
+
+def _filter_good(docs: DataFrame, text: str) -> DataFrame:
     voted = votes(measures(docs, text))
     model, bias = fit(materialize(voted.groupBy("_v").agg(F.count(F.lit(1)).alias("n")).coalesce(1), "votes"), len(RULES))
     good = ~base_failed() & (_score(model, bias) >= 0.5)

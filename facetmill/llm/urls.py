@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialize
+from .names import apart
 
 #: Rules fixed by the query's contract: verdict, host, path. The longest that fits wins.
 HOST_RULES = (
@@ -141,8 +142,8 @@ def judge(pages: DataFrame, keep: list[str], url: str = "url", host_rules=HOST_R
 
 
 def allowed(pages: DataFrame, url: str = "url", **rules) -> DataFrame:
-    """The rows whose url is allowed, columns unchanged."""
-    return judge(pages, list(pages.columns), url, **rules).filter("_verdict = 'allow'").select(*[F.col(f"`{c}`") for c in pages.columns])
+    """The rows whose url is allowed, columns unchanged, whatever their names."""
+    return apart(pages, lambda p, url: judge(p, list(p.columns), url, **rules).filter("_verdict = 'allow'"), url=url)
 
 
 def digest(pages: DataFrame) -> DataFrame:

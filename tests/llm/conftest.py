@@ -20,7 +20,9 @@ def odd_documents(spark):
     ]
     table = [(i, t, g, s, None if t is None else len(t), 1, "x", "y", "z", 0, "w") for i, t, g, s in rows]
     names = "doc_id long, text string, lang string, source string, n_chars long, n_words int, token string, id string, `_row` string, label int, size string"
-    return spark.createDataFrame(table, names)
+    # Names that operators use for columns of their own.
+    clashing = "_q _v _once _gone _masked _spans _host _ids target source_size _copies _size _copy _text code rep a b _in0 _in1 part load _key".split()
+    return spark.createDataFrame([(*r, *[f"own {c} {i}" for c in clashing]) for i, r in enumerate(table)], names + "".join(f", `{c}` string" for c in clashing))
 
 
 @pytest.fixture(scope="session")

@@ -4,7 +4,7 @@ import collections
 
 import corpus_pipeline
 import public_tokenizers
-from facetmill.llm import mixing, pii, quality
+from facetmill.llm import mixing, pii, quality, urls
 from tokenizers import Tokenizer
 
 from test_llm_pairs import plain_groups
@@ -51,3 +51,15 @@ def test_entry_points():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert len(names) == 14
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_columns_of_any_name_come_through_unchanged(spark, odd_documents):
+    given = {tuple(r)[5:] for r in odd_documents.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd_documents, SMALL)
+        assert out.schema == odd_documents.schema, name
+        kept = {tuple(r)[5:] for r in out.collect()}
+        # The rules keep none of these rows.
+        assert kept <= given and (kept or name == "quality rules"), name
+    pages = odd_documents.withColumn("url", odd_documents["text"])
+    assert {tuple(r)[5:-1] for r in urls.allowed(pages).collect()} == given
