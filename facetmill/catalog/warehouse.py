@@ -364,6 +364,14 @@ def ip_range_lookup(spark, folder):
     return joins.locate_addresses(td.addresses(spark, folder), td.address_ranges(spark, folder))
 
 
+@query(f"""WITH {q.RANGES} SELECT c_custkey, coalesce(country_code, 'Unknown') AS country_code, coalesce(country_name, 'Unknown') AS country_name,
+    coalesce(region, 'Unknown') AS region, coalesce(city, 'Unknown') AS city FROM customer LEFT JOIN ranges
+  ON c_mktsegment <> 'BUILDING' AND c_custkey * 67 BETWEEN ip_from AND ip_to AND (ip_from // 1000 % 2 = 0) = (c_mktsegment = 'MACHINERY')""")
+def ip6_range_lookup(spark, folder):
+    """J20 with addresses and ranges of both families, IPv6 in several spellings."""
+    return joins.locate_any_addresses(td.any_addresses(spark, folder), td.any_address_ranges(spark, folder)).drop("ip_address")
+
+
 @query(f"""WITH {_LOOKUP} SELECT count(*) AS total, count(*) FILTER (country_code <> 'Unknown') AS found,
   count(*) FILTER (country_code = 'Unknown') AS missed, count(*) FILTER (country_code <> 'Unknown') * 100.0::DOUBLE / count(*) AS found_pct,
   count(*) FILTER (country_code = 'Unknown') * 100.0::DOUBLE / count(*) AS missed_pct FROM found""")

@@ -191,6 +191,55 @@ def locate_addresses(
     return found.withColumns(fields).drop("_number", "_all", "_to")
 
 
+def address_key(ip: Column | str) -> Column:
+    """Sixteen bytes in address order for an address of either family, NULL for anything else.
+
+    IPv4 is taken as ``::ffff:a.b.c.d``, so both ways to write one address give one key. Zones (``%eth0``) are no part of an address.
+    """
+    ip = F.col(ip) if isinstance(ip, str) else ip
+    number = ipv4_number(ip)
+    text = F.lower(ip)
+    # A dotted tail is two groups.
+    tail = ipv4_number(F.regexp_extract(text, r":([0-9.]+)$", 1))
+    dotted = F.concat(F.regexp_extract(text, r"^(.*:)[0-9.]+$", 1), F.hex(F.shiftright(tail, 16)), F.lit(":"), F.hex(tail.bitwiseAND(F.lit(0xFFFF))))
+    text = F.lower(F.when(tail.isNotNull(), dotted).otherwise(text))
+    halves = F.split(text, "::", -1)
+    groups = lambda part: F.when(part == "", F.array().cast("array<string>")).otherwise(F.split(part, ":", -1))
+    left, right = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
+    every = F.concat(left, right)
+    short = F.size(halves) == 2
+    sound = (F.size(halves) <= 2) & F.when(short, F.size(every) <= 7).otherwise(F.size(every) == 8) & F.forall(every, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    padded = lambda part: F.array_join(F.transform(part, lambda g: F.lpad(g, 4, "0")), "")
+    six = F.unhex(F.concat(padded(left), F.repeat(F.lit("0000"), F.greatest(F.lit(0), F.lit(8) - F.size(every))), padded(right)))
+    four = F.unhex(F.concat(F.lit("0" * 20 + "ffff"), F.lpad(F.hex(number), 8, "0")))
+    return F.when(number.isNotNull(), four).when(ip.contains(":") & sound, six)
+
+
+def key_block(key: Column | str) -> Column:
+    """The block of an address key, in address order: a /32 of IPv6, or a /16 of IPv4."""
+    key = F.col(key) if isinstance(key, str) else key
+    number = lambda at, n: F.conv(F.hex(F.substring(key, at, n)), 16, 10).cast("bigint")
+    mapped = F.unhex(F.lit("0" * 20 + "ffff"))
+    head = F.substring(key, 1, 12)
+    inside = F.when(head == mapped, number(13, 2) + 1).when(head > mapped, 0x10001).otherwise(0)
+    return number(1, 4) * 0x20000 + F.when(number(1, 4) == 0, inside).otherwise(0)
+
+
+def locate_any_addresses(addresses: DataFrame, ranges: DataFrame, ip: str = "ip_address", unknown: str = "Unknown") -> DataFrame:
+    """Like :func:`locate_addresses` for addresses and ranges of both families in one scan.
+
+    ``ranges``: ``range_from`` and ``range_to`` as text, and the location fields. Ranges that cannot be read match nothing.
+    """
+    keyed = addresses.withColumn("_key", address_key(ip)).withColumn("_all", F.lit(0))
+    spans = ranges.select(
+        *LOCATION_FIELDS, address_key("range_from").alias("_from"), address_key("range_to").alias("_to"), F.lit(0).alias("_all")
+    ).where("_from is not null and _to is not null")
+    found = latest_at(keyed, spans, ["_all"], "_key", "_from", ["_to", *LOCATION_FIELDS], ties=["_to"], slice_of=key_block)
+    inside = F.col("_key") <= F.col("_to")
+    fields = {f: F.coalesce(F.when(inside, F.nullif(F.col(f), F.lit(""))), F.lit(unknown)) for f in LOCATION_FIELDS}
+    return found.withColumns(fields).drop("_key", "_all", "_to")
+
+
 def location_hit_rate(located: DataFrame, unknown: str = "Unknown") -> DataFrame:
     """How many addresses were found, and the shares (A9). Empty input gives NULL shares."""
     missed = F.col("country_code") == unknown

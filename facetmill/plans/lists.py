@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import value_if
 from ..functions.urls import page_address
 from ..operators.distincts import distinct_non_blank, earliest_value
-from ..operators.joins import locate_addresses
+from ..operators.joins import locate_addresses, locate_any_addresses
 from ..operators.normalize import distinct_codes, flatten_rates, sorted_rates, with_event_types
 
 # Event types that name a product, and the one whose page is the referrer.
@@ -51,9 +51,12 @@ def product_id_list(
 
 
 def ip_location_table(events: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Location of every distinct address in the events."""
+    """Location of every distinct address in the events.
+
+    Ranges of numbers (``ip_from``) hold IPv4, ranges of text (``range_from``) both families.
+    """
     addresses = distinct_non_blank(events, "ip").withColumnRenamed("ip", "ip_address")
-    return locate_addresses(addresses, ranges)
+    return (locate_any_addresses if "range_from" in ranges.columns else locate_addresses)(addresses, ranges)
 
 
 def exchange_rate_table(

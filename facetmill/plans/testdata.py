@@ -251,6 +251,37 @@ def addresses(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(ip.alias("ip_address"))
 
 
+def ipv6_text(number: Column, style: Column) -> Column:
+    """An address below 2001:db8::, in three spellings."""
+    high, low = F.shiftright(number, 16), number.bitwiseAND(F.lit(0xFFFF))
+    return (
+        F.when(style == 0, F.concat(F.lit("2001:db8::"), F.lower(F.hex(high)), F.lit(":"), F.lower(F.hex(low))))
+        .when(style == 1, F.concat(F.lit("2001:0DB8:0000:0000:0000:0000:"), F.lpad(F.hex(high), 4, "0"), F.lit(":"), F.lpad(F.hex(low), 4, "0")))
+        .otherwise(F.concat(F.lit("2001:db8:0:0::"), ipv4_text(number)))
+    )
+
+
+def any_addresses(spark: SparkSession, folder: str) -> DataFrame:
+    """One address per customer, of either family; some are none."""
+    key = F.col("c_custkey")
+    ip = (
+        F.when(F.col("c_mktsegment") == "MACHINERY", ipv6_text(key * 67, key % 3))
+        .when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("2001:db8::1::"), key.cast("string")))
+        .otherwise(ipv4_text(key * 67))
+    )
+    return table(spark, folder, "customer").select("c_custkey", ip.alias("ip_address"))
+
+
+def any_address_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The suppliers' ranges as text: even suppliers own IPv6, odd ones IPv4."""
+    low, high = F.col("ip_from"), F.col("ip_to")
+    six = F.floor(low / 1000) % 2 == 0
+    return address_ranges(spark, folder).select(
+        *[F.when(six, ipv6_text(n, F.lit(0))).otherwise(ipv4_text(n)).alias(name) for n, name in ((low, "range_from"), (high, "range_to"))],
+        "country_code", "country_name", "region", "city",
+    )
+
+
 def ip_locations(spark: SparkSession, folder: str) -> DataFrame:
     plain = table(spark, folder, "customer").select(ipv4_text(F.col("c_custkey") * 67).alias("ip_address"))
     return locate_addresses(plain, address_ranges(spark, folder))

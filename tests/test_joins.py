@@ -1,3 +1,4 @@
+import ipaddress
 import random
 
 from pyspark.sql import functions as F
@@ -123,3 +124,32 @@ def test_sample_of_a_large_table_equals_the_full_ranking(spark, rows):
     rank = F.md5(F.concat_ws("|", F.lit("4"), F.col("k").cast("string")))
     assert rows(distincts.sample_rows(many, 40, ["k"], seed=4)) == rows(many.orderBy(rank, "k").limit(40))
     assert distincts.sample_rows(many.limit(30), 40, ["k"]).count() == 30
+
+
+def test_address_keys_follow_the_addresses(spark):
+    rnd = random.Random(8)
+    texts = ["::", "::1", "1::", "::ffff:1.2.3.4", "1.2.3.4", "2001:DB8::", "2001:db8:0:0:0:0:0:0", "fe80::1:2:3:4:5:6", "::1.2.3.4", "64:ff9b::255.255.255.255", "0:0:0:0:1::"]
+    for _ in range(200):
+        a = ipaddress.IPv6Address(rnd.getrandbits(128) >> rnd.choice([0, 0, 64, 96, 112]) & ~(rnd.getrandbits(128) if rnd.random() < 0.3 else 0))
+        texts += [str(a), a.exploded, str(ipaddress.IPv4Address(rnd.getrandbits(32)))]
+    bad = ["", None, ":", ":::", "1:2", "1::2::3", "g::", "12345::", "1:2:3:4:5:6:7:8:9", "::1%eth0", "1.2.3", "::1.2.3.256", "1:2:3:4:5:6:7:1.2.3.4", "1:2:3:4:5:6:7::8", ":1:2:3:4:5:6:7", "text:"]
+
+    def want(t):
+        a = ipaddress.ip_address(t)
+        return (a if a.version == 6 else ipaddress.IPv6Address(f"::ffff:{a}")).packed
+
+    got = spark.createDataFrame([(t,) for t in texts + bad], "t string").select("t", joins.address_key("t").alias("k"), joins.key_block(joins.address_key("t")).alias("b")).collect()
+    assert {r.t: r.k and bytes(r.k) for r in got} == {t: want(t) for t in texts} | dict.fromkeys(bad)
+    ranked = sorted((bytes(r.k), r.b) for r in got if r.k)
+    assert [b for _, b in ranked] == sorted(b for _, b in ranked), "blocks are in address order"
+
+
+def test_ranges_of_both_families(spark):
+    place = lambda a, b, c: (a, b, c, c, c, c)
+    table = spark.createDataFrame(
+        [place("1.0.0.0", "1.255.255.255", "four"), place("2001:db8::", "2001:db8:ffff::", "six"), place("2001:db9::", "2001:dbb::", "wide"), place("::", "::1", "low"), place("x", "y", "bad")],
+        "range_from string, range_to string, country_code string, country_name string, region string, city string",
+    )
+    ips = {"1.2.3.4": "four", "::ffff:1.2.3.4": "four", "2.0.0.0": "Unknown", "2001:DB8:1::5": "six", "2001:dba:1::": "wide", "2001:dbb::1": "Unknown", "::1": "low", "::2": "Unknown", "nope": "Unknown", None: "Unknown"}
+    got = joins.locate_any_addresses(spark.createDataFrame([(i,) for i in ips], "ip_address string"), table)
+    assert {r.ip_address: r.city for r in got.collect()} == ips and "_key" not in got.columns
