@@ -191,28 +191,45 @@ def locate_addresses(
     return found.withColumns(fields).drop("_number", "_all", "_to")
 
 
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value taken once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _expanded(text: Column) -> Column:
+    """Lower-case hexadecimal digits of an IPv6 address without a dotted tail, NULL if it is none."""
+    groups = lambda part: F.when(part == "", F.array().cast("array<string>")).otherwise(F.split(part, ":", -1))
+    padded = lambda part: F.array_join(F.transform(part, lambda g: F.lpad(g, 4, "0")), "")
+
+    def joined(sides: Column) -> Column:
+        left, right, n = sides["left"], sides["right"], F.size(sides["left"]) + F.size(sides["right"])
+        sound = F.when(sides["short"], n <= 7).otherwise(n == 8) & F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+        return F.when(sound, F.concat(padded(left), F.repeat(F.lit("0000"), F.lit(8) - n), padded(right)))
+
+    def halves(parts: Column) -> Column:
+        right = F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
+        sides = F.struct(groups(F.get(parts, F.lit(0))).alias("left"), groups(right).alias("right"), (F.size(parts) == 2).alias("short"))
+        return F.when(F.size(parts) <= 2, _with(sides, joined))
+
+    return _with(F.split(text, "::", -1), halves)
+
+
 def address_key(ip: Column | str) -> Column:
     """Sixteen bytes in address order for an address of either family, NULL for anything else.
 
     IPv4 is taken as ``::ffff:a.b.c.d``, so both ways to write one address give one key. Zones (``%eth0``) are no part of an address.
     """
     ip = F.col(ip) if isinstance(ip, str) else ip
-    number = ipv4_number(ip)
-    text = F.lower(ip)
-    # A dotted tail is two groups.
-    tail = ipv4_number(F.regexp_extract(text, r":([0-9.]+)$", 1))
-    dotted = F.concat(F.regexp_extract(text, r"^(.*:)[0-9.]+$", 1), F.hex(F.shiftright(tail, 16)), F.lit(":"), F.hex(tail.bitwiseAND(F.lit(0xFFFF))))
-    text = F.lower(F.when(tail.isNotNull(), dotted).otherwise(text))
-    halves = F.split(text, "::", -1)
-    groups = lambda part: F.when(part == "", F.array().cast("array<string>")).otherwise(F.split(part, ":", -1))
-    left, right = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-    every = F.concat(left, right)
-    short = F.size(halves) == 2
-    sound = (F.size(halves) <= 2) & F.when(short, F.size(every) <= 7).otherwise(F.size(every) == 8) & F.forall(every, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    padded = lambda part: F.array_join(F.transform(part, lambda g: F.lpad(g, 4, "0")), "")
-    six = F.unhex(F.concat(padded(left), F.repeat(F.lit("0000"), F.greatest(F.lit(0), F.lit(8) - F.size(every))), padded(right)))
-    four = F.unhex(F.concat(F.lit("0" * 20 + "ffff"), F.lpad(F.hex(number), 8, "0")))
-    return F.when(number.isNotNull(), four).when(ip.contains(":") & sound, six)
+
+    def six(text: Column) -> Column:
+        # A dotted tail is two groups.
+        tail = ipv4_number(F.regexp_extract(text, r":([0-9.]+)$", 1))
+        head = F.regexp_extract(text, r"^(.*:)[0-9.]+$", 1)
+        dotted = _with(tail, lambda n: F.concat(head, F.lower(F.hex(F.shiftright(n, 16))), F.lit(":"), F.lower(F.hex(n.bitwiseAND(F.lit(0xFFFF))))))
+        return _with(F.when(text.rlike(r":[0-9]+\."), dotted).otherwise(text), _expanded)
+
+    four = _with(ipv4_number(ip), lambda n: F.concat(F.lit("0" * 20 + "ffff"), F.lpad(F.hex(n), 8, "0")))
+    return F.unhex(F.when(ip.contains(":"), _with(F.lower(ip), six)).otherwise(four))
 
 
 def key_block(key: Column | str) -> Column:
