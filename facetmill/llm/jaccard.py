@@ -4,7 +4,7 @@
 2. Two sets as similar as asked share one of the first few hashes of each (prefix filter, in hash order). Classes are filed
    under those. Members of a bucket are first paired with its least member, which joins most of what is similar. Small buckets also
    give the pairs for which the hash can be the first that both share, as enough hashes follow in either.
-3. Pairs pass a bound on their overlap from hashed bitmaps, at first folded to 64 bytes, then an exact intersection of sorted hashes.
+3. Pairs pass a bound on their overlap from hashed bitmaps, at first folded to 128 bytes, then an exact intersection of sorted hashes.
 4. Of large buckets, members that are still in different components are compared in size-banded tiles of
    bounded size by their bitmaps. Pairs inside one component are never listed, and no link between components is lost.
 """
@@ -30,7 +30,7 @@ PERCENT = 80
 SMALL_BUCKET = 24
 TILE = 1024
 BROADCAST_IDS = 500_000
-ROUGH_WORDS = 8  # of 64 bits, to which bitmaps are folded before they travel with pairs
+ROUGH_WORDS = 16  # of 64 bits, to which bitmaps are folded before they travel with pairs
 BAND = 1.26  # sizes of linked sets differ by less than one band and a bit
 SLICE = 1 << 20
 
@@ -281,8 +281,8 @@ def _tiles(large: DataFrame, labels: DataFrame, tile_rows: int) -> DataFrame:
 
 
 def tile_pairs(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within a tile that the token and their bitmaps leave possible."""
-    rows = tiles.join(classes.select("rep", "bits"), "rep")
+    """Pairs (a, b) of different components within a tile that the token and their folded bitmaps leave possible."""
+    rows = tiles.join(classes.select("rep", F.col("rough").alias("bits")), "rep")
     key = ["token", "low", "i", "j"]
     rows = rows.repartition(*key).sortWithinPartitions(*key)
 
@@ -388,7 +388,8 @@ def group(
     links = links if edges is None else links.union(edges)
     labels = components(links)
     if not large.isEmpty():
-        more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent)
+        more = materialize(tile_pairs(_tiles(large, labels, tile_rows), classes, percent).distinct(), "likely")
+        more = _bounded(more, classes, percent, "bits")
         more = materialize(linked(materialize(more, "likely"), texts, "doc_id", "text", percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
