@@ -4,7 +4,8 @@
 2. Two sets as similar as asked share one of the first few hashes of each (prefix filter, in hash order). Classes are filed
    under those. Members of a bucket are first paired with its least member, which joins most of what is similar. Small buckets also
    give the pairs for which the hash can be the first that both share, as enough hashes follow in either.
-3. Pairs pass a bound on their overlap from hashed bitmaps, at first folded to 128 bytes, then an exact intersection of sorted hashes.
+3. Pairs pass a bound on their overlap from hashed bitmaps, at first folded to 128 bytes, then to one or two bits a hash, then
+   whole, and last an exact intersection of sorted hashes.
 4. Of large buckets, members that are still in different components are compared in size-banded tiles of
    bounded size by their bitmaps. Pairs inside one component are never listed, and no link between components is lost.
 """
@@ -52,8 +53,8 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """One bit per hash, in a power of two of four to eight bits per hash. Halves can be or-ed to a smaller map."""
-    bits = max(64, 4 << int(len(hashes)).bit_length())
+    """One bit per hash, in a power of two of two to four bits per hash. Halves can be or-ed to a smaller map."""
+    bits = max(64, 2 << int(len(hashes)).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(hashes & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -84,27 +85,29 @@ def digest_of(own: np.ndarray) -> bytes | None:
 
 
 def set_table(docs: DataFrame, doc_id: str, text: str, percent: int, words: int) -> DataFrame:
-    """(doc_id, n, digest, prefix, bits, rough) of every row; ``rough`` are the bits folded. Sets without shingles have a null digest."""
+    """(doc_id, n, digest, prefix, bits, half, rough) of every row; ``half`` are the bits folded once, ``rough`` to 128 bytes. Sets without shingles have a null digest."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
             for batch in bounded(whole, "text"):
-                n, digest, prefix, bits, rough = [], [], [], [], []
+                n, digest, prefix, bits, half, rough = [], [], [], [], [], []
                 for own in shingle_sets(batch["text"], words):
                     n.append(len(own))
                     digest.append(digest_of(own))
                     prefix.append(own[: prefix_length(len(own), percent)].view(np.int64) if len(own) else own.view(np.int64))
                     bits.append(bitmap(own) if len(own) else None)
-                    rough.append(fold(np.frombuffer(bits[-1], np.uint64), ROUGH_WORDS).tobytes() if len(own) else None)
+                    map_ = np.frombuffer(bits[-1] or b"", np.uint64)
+                    half.append(fold(map_, max(ROUGH_WORDS, len(map_) // 2)).tobytes() if len(own) else None)
+                    rough.append(fold(map_, ROUGH_WORDS).tobytes() if len(own) else None)
                 offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"], pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix))), pa.array(bits, pa.binary()), pa.array(rough, pa.binary())],
-                    names=["doc_id", "n", "digest", "prefix", "bits", "rough"],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix))), *(pa.array(x, pa.binary()) for x in (bits, half, rough))],
+                    names=["doc_id", "n", "digest", "prefix", "bits", "half", "rough"],
                 )
 
-    return map_batches(rows, run, "doc_id long, n int, digest binary, prefix array<long>, bits binary, rough binary")
+    return map_batches(rows, run, "doc_id long, n int, digest binary, prefix array<long>, bits binary, half binary, rough binary")
 
 
 def texts_of(docs: DataFrame, varied: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -200,10 +203,12 @@ def bucket_pairs(index: DataFrame, percent: int, small: int = SMALL_BUCKET) -> D
     return map_batches(index, run, "large boolean, x long, y long, n long, at long")
 
 
-def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose overlap, bounded by their bitmaps, may suffice. Few pass the folded ones; only for those whole bitmaps move."""
-    rough = materialize(_bounded(pairs.distinct(), classes, percent, "rough"), "likely")
-    return _bounded(rough, classes, percent, "bits")
+def likely(pairs: DataFrame, classes: DataFrame, percent: int, *levels: str) -> DataFrame:
+    """Distinct pairs (a, b) whose overlap, bounded by their bitmaps, may suffice. ``levels`` are columns of bitmaps, folded ones first: larger ones move only for pairs that pass the smaller."""
+    pairs = pairs.distinct()
+    for bits in levels:
+        pairs = _bounded(materialize(pairs, "likely"), classes, percent, bits)
+    return pairs
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int, bits: str) -> DataFrame:
@@ -374,7 +379,7 @@ def group(
         edges = materialize(held.join(small(hubs), "doc_id").filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "links")
     if not repeated.isEmpty():
         classes = classes.dropDuplicates(["rep", "digest"])
-    classes = materialize(classes.select("rep", "n", "prefix", "bits", "rough"), "sets")
+    classes = materialize(classes.select("rep", "n", "prefix", "bits", "half", "rough"), "sets")
     index = classes.select(F.posexplode("prefix").alias("at", "token"), "rep", "n")
     index = index.repartition("token").sortWithinPartitions("token", "rep")
     found = materialize(bucket_pairs(index, percent, small_bucket), "buckets")
@@ -384,12 +389,11 @@ def group(
     fits = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
     stars = lookup_join(large, least, ["x"], ["y"], counted=large).filter((F.col("y") != F.col("a")) & fits).select("a", F.col("y").alias("b"))
     pairs = found.filter("not large").select(F.col("x").alias("a"), F.col("y").alias("b")).union(stars)
-    links = materialize(linked(materialize(likely(pairs, classes, percent), "likely"), texts, "doc_id", "text", percent, words), "links")
+    links = materialize(linked(materialize(likely(pairs, classes, percent, "rough", "half", "bits"), "likely"), texts, "doc_id", "text", percent, words), "links")
     links = links if edges is None else links.union(edges)
     labels = components(links)
     if not large.isEmpty():
-        more = materialize(tile_pairs(_tiles(large, labels, tile_rows), classes, percent).distinct(), "likely")
-        more = _bounded(more, classes, percent, "bits")
+        more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent, "half", "bits")
         more = materialize(linked(materialize(more, "likely"), texts, "doc_id", "text", percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
