@@ -22,8 +22,8 @@ from .registry import query
 def event_log_json(spark, folder):
     """Checkouts written as newline JSON and read with the declared schema."""
     path = new_folder(spark, "events-json")
-    writers.write_json_lines(td.checkouts(spark, folder), path)
-    events = readers.read_events(spark, path, glob="*.json")
+    writers.write_json_lines(td.checkouts(spark, folder), path, compression="gzip")
+    events = readers.read_events(spark, path, glob="*.json.gz")
     cart = F.col("cart_products")
     return events.select(
         "order_id", "user_id_db", "time_stamp",

@@ -18,6 +18,13 @@ def test_json_lines_are_capped_per_file(spark, tmp_path):
     assert spark.read.schema("id bigint").json(path).count() == 2500
 
 
+def test_json_lines_can_be_compressed(spark, tmp_path):
+    path = str(tmp_path / "out")
+    writers.write_json_lines(spark.range(2500).coalesce(1), path, records_per_file=1000, compression="gzip")
+    assert len(files(path, ".json.gz")) == 3
+    assert spark.read.schema("id bigint").json(path).count() == 2500
+
+
 def test_json_reader_skips_other_suffixes_and_keeps_field_with_space(spark, tmp_path):
     line = {"_id": "1", "option": [{"category id": "5"}], "cart_products": [{"product_id": "1", "amount": 2}], "extra": 1}
     (tmp_path / "a.jsonl").write_text(json.dumps(line) + "\n")
