@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from facetmill import schemas, sources
 from facetmill.functions.urls import StoreUrlRules
 from facetmill.operators import normalize, quality
-from facetmill.plans import checks, dims, facts, lists, pipeline, staging
+from facetmill.operators.intervals import version_at
+from facetmill.plans import checks, dims, facts, lists, mart, pipeline, staging
 
 
 def event(**fields):
@@ -217,3 +218,37 @@ def test_a_violated_check_stops_the_build(src):
     with pytest.raises(checks.ViolatedError, match="currencies_with_raw_symbol"):
         pipeline.build_mart(bad, strict=True)
     assert pipeline.build_mart(bad)["dim_currency"].count() == 4, "without strict nothing is looked for"
+
+
+def moved(df):
+    """How often the plan shuffles rows."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_copies_and_lines_of_an_order_move_once(src):
+    assert moved(facts.summed_lines(staging.stg_sales_order_detail(src.events))) == 1
+
+
+def test_lookups_of_buyers_and_places_do_not_move_lines_one_by_one(spark, built, src, monkeypatch):
+    known = built["dim_customer_scd"].where(F.col("scd_customer_key") != -1)
+    seen = []
+    monkeypatch.setattr(facts, "version_at", lambda heads, *rest: seen.append(heads.columns) or version_at(heads, *rest))
+    args = (
+        built["dim_store"], src.countries, facts.daily_rates(built["fact_snapshot_exchange_rate"], built["dim_currency"]),
+        built["stg_ip_location_mapping"], known, built["dim_customer_current"], built["dim_currency"],
+    )
+    rows = facts.sales_rows(built["order_lines"], *args)
+    want = built["fact_sales_order_detail"].select(*facts.FACT_COLUMNS)
+    assert seen == [["user_id_db", "local_datetime", "ip_address"]]
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_large_dimensions_are_joined_before_small_ones_widen_the_rows(spark, built, monkeypatch):
+    order = []
+    monkeypatch.setattr(mart, "fits_memory", lambda side: not {"product_key", "scd_customer_key"} & set(side.columns))
+    monkeypatch.setattr(mart, "spread_left_join", lambda left, side, on, *a, **k: order.append((on, "country_name" in left.columns)) or left.join(side, on, "left"))
+    flat = mart.mart_sales_report(
+        built["fact_sales_order_detail"], built["dim_date"], built["dim_product"], built["dim_store"], built["dim_location"], built["dim_customer_scd"], built["dim_currency"]
+    )
+    assert order == [(["scd_customer_key"], False), (["product_key"], False)]
+    assert sorted(map(repr, flat.collect())) == sorted(map(repr, built["mart_sales_report"].collect()))
