@@ -7,7 +7,8 @@
 3. Pairs pass a bound on their overlap from hashed bitmaps, at first folded to 128 bytes, then to one or two bits a hash, then
    whole, and last an exact intersection of sorted hashes.
 4. Of large buckets, members that are still in different components are compared in size-banded tiles of
-   bounded size by their bitmaps. Pairs inside one component are never listed, and no link between components is lost.
+   bounded size by their bitmaps folded once, where the hash can be the first that both share. Pairs inside one component
+   are never listed, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import fits_broadcast, lookup_join
 from ..session import materialize
@@ -257,20 +259,32 @@ def linked(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: i
 
 
 def _tiles(large: DataFrame, labels: DataFrame, tile_rows: int) -> DataFrame:
-    """Members of large buckets that hold several components, once for each tile of pairs they take part in.
+    """Members of large buckets, once for each tile of pairs they take part in.
 
     Tile (low, i, j) holds the pairs of part i of band ``low`` with part j of the same band (if i <= j) and of the next band.
+    ``before`` is the token of the member's previous large bucket: two members that agree on it share an earlier hash, and meet
+    there. Tiles are left out in which all members agree on it, or are of one component.
     """
     members = large.select(F.col("x").alias("token"), F.col("y").alias("rep"), "n", F.col("at").alias("place"))
     members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    members = members.withColumn("before", F.lag("token").over(Window.partitionBy("rep").orderBy("place")))
     members = members.withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
     members = materialize(members, "members")
-    counts = members.groupBy("token", "band").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("l"), F.max("label").alias("h"))
-    open_ = (
-        counts.groupBy("token").agg(F.max("c").alias("c"), F.min("l").alias("l"), F.max("h").alias("h")).filter("l < h")
-        .select("token", F.ceil(F.col("c") / tile_rows).cast("int").alias("tiles"))
+    seen = F.struct(
+        F.count(F.lit(1)).alias("c"), F.min("label").alias("l"), F.max("label").alias("h"),
+        F.count("before").alias("b"), F.min("before").alias("p"), F.max("before").alias("q"),
     )
-    rows = members.join(materialize(open_, "open"), "token")
+    bands = members.groupBy("token", "band").agg(seen.alias("own"))
+    of_token, own, up = Window.partitionBy("token"), F.col("own"), F.col("up")
+    no_rows = F.lit(0).cast("long")
+    alone = F.struct(no_rows.alias("c"), own["l"].alias("l"), own["h"].alias("h"), no_rows.alias("b"), own["p"].alias("p"), own["q"].alias("q"))
+    bands = bands.withColumn("tiles", F.ceil(F.max("own.c").over(of_token) / tile_rows).cast("int"))
+    bands = bands.withColumn("up", F.coalesce(F.max("own").over(of_token.orderBy("band").rangeBetween(1, 1)), alone))
+    agree = (own["b"] + up["b"] == own["c"] + up["c"]) & (F.least(own["p"], up["p"]) == F.greatest(own["q"], up["q"]))
+    bands = bands.withColumn("open", (F.least(own["l"], up["l"]) < F.greatest(own["h"], up["h"])) & ~F.coalesce(agree, F.lit(False)))
+    bands = bands.withColumn("below", F.coalesce(F.max("open").over(of_token.orderBy("band").rangeBetween(-1, -1)), F.lit(False)))
+    open_ = materialize(bands.filter(F.col("open") | F.col("below")).select("token", "band", "tiles", "open", "below"), "open")
+    rows = members.join(open_, ["token", "band"])
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     tile, every = F.col("tile"), F.sequence(F.lit(0), F.col("tiles") - 1)
 
@@ -278,22 +292,23 @@ def _tiles(large: DataFrame, labels: DataFrame, tile_rows: int) -> DataFrame:
         return F.struct(low.alias("low"), i.alias("i"), j.alias("j"))
 
     places = F.concat(
-        F.transform(every, lambda s: place(F.col("band"), tile, s)),
-        F.transform(F.filter(every, lambda s: s < tile), lambda s: place(F.col("band"), s, tile)),
-        F.transform(every, lambda s: place(F.col("band") - 1, s, tile)),
+        F.transform(F.filter(every, lambda s: F.col("open")), lambda s: place(F.col("band"), tile, s)),
+        F.transform(F.filter(every, lambda s: F.col("open") & (s < tile)), lambda s: place(F.col("band"), s, tile)),
+        F.transform(F.filter(every, lambda s: F.col("below")), lambda s: place(F.col("band") - 1, s, tile)),
     )
-    return rows.withColumn("at", F.explode(places)).select("token", "rep", "n", "place", "label", "band", "tile", "at.*")
+    return rows.withColumn("at", F.explode(places)).select("token", "rep", "n", "place", "label", "before", "band", "tile", "at.*")
 
 
 def tile_pairs(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within a tile that the token and their folded bitmaps leave possible."""
-    rows = tiles.join(classes.select("rep", F.col("rough").alias("bits")), "rep")
+    """Pairs (a, b) of different components within a tile that the token and their bitmaps, folded once, leave possible."""
+    rows = tiles.join(classes.select("rep", F.col("half").alias("bits")), "rep")
     key = ["token", "low", "i", "j"]
     rows = rows.repartition(*key).sortWithinPartitions(*key)
 
     def compare(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         low, one, two = (t[c][0].as_py() for c in ("low", "i", "j"))
         rep, n, place, label, band, tile = (t[c].to_numpy() for c in ("rep", "n", "place", "label", "band", "tile"))
+        before, none_before = pc.fill_null(t["before"], 0).to_numpy(), pc.is_null(t["before"]).to_numpy()
         left = np.flatnonzero((band == low) & (tile == one))
         same = np.flatnonzero((band == low) & (tile == two)) if one < two else np.zeros(0, np.int64)
         right = np.concatenate((same, np.flatnonzero((band == low + 1) & (tile == two))))
@@ -307,7 +322,8 @@ def tile_pairs(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         a, b = [none], [none]
         for at, i in enumerate(left):
             others = np.concatenate((left[at + 1:], right)) if one == two else right
-            others = others[(label[others] != label[i]) & _first_shared(n[others], place[others], n[i], place[i], percent)]
+            later = (before[others] == before[i]) & ~none_before[others] & ~none_before[i]  # the token is not the first they share
+            others = others[(label[others] != label[i]) & ~later & _first_shared(n[others], place[others], n[i], place[i], percent)]
             if len(others):
                 more = np.bitwise_count(maps[i] & ~maps[others]).sum(axis=1, dtype=np.int64)
                 less = np.bitwise_count(maps[others] & ~maps[i]).sum(axis=1, dtype=np.int64)
@@ -393,7 +409,7 @@ def group(
     links = links if edges is None else links.union(edges)
     labels = components(links)
     if not large.isEmpty():
-        more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent, "half", "bits")
+        more = likely(tile_pairs(_tiles(large, labels, tile_rows), classes, percent), classes, percent, "bits")
         more = materialize(linked(materialize(more, "likely"), texts, "doc_id", "text", percent, words), "links")
         if not more.isEmpty():
             labels = components(links.union(more))

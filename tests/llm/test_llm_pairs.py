@@ -79,6 +79,19 @@ def test_groups_of_ids_with_several_texts(spark, limits):
     assert got == plain_groups(rows)
 
 
+def test_tiles_list_few_pairs_of_long_texts_that_share_a_passage(spark, monkeypatch):
+    passage = [f"p{i}" for i in range(150)]
+    rows = [(i, " ".join([*passage, *(f"d{i}w{k}" for k in range(2400))])) for i in range(60)]
+    # Two near copies that the star of their bucket does not find.
+    rows += [(60, " ".join([*passage, *(f"ew{k}" for k in range(2400))])), (61, " ".join([*passage, *(f"ew{k}" for k in range(2390))]))]
+    made, tile_pairs = [], jaccard.tile_pairs
+    monkeypatch.setattr(jaccard, "tile_pairs", lambda *args: made.append(tile_pairs(*args)) or made[-1])
+    got = collections.Counter(map(tuple, jaccard.group(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == plain_groups(rows)
+    # Once for each of 20 or so shared hashes it would be above 30,000.
+    assert made[0].count() < len(rows)
+
+
 def test_prefix_and_bitmap_bounds_hold():
     import numpy as np
 
