@@ -462,27 +462,33 @@ def detect(docs: DataFrame, keep: list[str], text: str = "text", table=None) ->
     searched one by one: repeated rows give equal rows. ``table``: labelled runs (words, labels), by default ``labelled_table()``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(table or labelled_table()))
-    rows = docs.select(F.struct(*[F.col(f"`{k}`") for k in keep]).alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    # A text that is kept travels once, beside the row.
+    once = text in keep and len(keep) > 1 and isinstance(docs.schema[text].dataType, T.StringType)
+    others = [k for k in keep if not (once and k == text)]
+    body = F.col(f"`{text}`") if once else F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{k}`") for k in others]).alias("_row"), body.alias("_text"))
     schema = T.StructType([
         rows.schema["_row"], T.StructField("_counts", T.ArrayType(T.LongType())), T.StructField("_base", T.StringType()),
-        T.StructField("_spans", T.StringType()), T.StructField("_masked", T.StringType()),
+        T.StructField("_spans", T.StringType()), T.StructField("_masked", T.StringType()), *([rows.schema["_text"]] if once else []),
     ])
 
     def run(batches: Batches) -> Batches:
         field = shared.value
         for whole in batches:
             for batch in bounded(whole, "_text"):
-                texts = batch["_text"].to_pylist()
+                texts = [t or "" for t in batch["_text"].to_pylist()]
                 found = find(texts, field)
                 columns = [
                     pa.array([[sum(k == kind for _, k, _ in b) for kind in range(len(KINDS))] for b, _ in found], pa.list_(pa.int64())),
                     pa.array([written(b) for b, _ in found], pa.string()), pa.array([written(e) for _, e in found], pa.string()),
                     pa.array([masked(t, e) if e else None for t, (_, e) in zip(texts, found)], pa.string()),
                 ]
-                yield pa.RecordBatch.from_arrays([batch["_row"], *columns], names=["_row", "_counts", "_base", "_spans", "_masked"])
+                columns += [batch["_text"]] if once else []
+                yield pa.RecordBatch.from_arrays([batch["_row"], *columns], names=schema.names)
 
     out = map_batches(rows, run, schema)
-    return out.select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], "_counts", "_base", "_spans", "_masked")
+    kept = [F.col("_text" if once and k == text else f"_row.`{k}`").alias(k) for k in keep]
+    return out.select(*kept, "_counts", "_base", "_spans", "_masked")
 
 
 def mask(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:

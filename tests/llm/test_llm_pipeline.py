@@ -4,7 +4,9 @@ import collections
 
 import corpus_pipeline
 import public_tokenizers
-from facetmill.llm import mixing, pii, quality, urls
+import pyarrow as pa
+from facetmill.llm import mixing, pii, quality, urls, workers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from test_llm_pairs import plain_groups
@@ -63,3 +65,24 @@ def test_columns_of_any_name_come_through_unchanged(spark, odd_documents):
         assert kept <= given and (kept or name == "quality rules"), name
     pages = odd_documents.withColumn("url", odd_documents["text"])
     assert {tuple(r)[5:-1] for r in urls.allowed(pages).collect()} == given
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    docs = spark.range(40).select(F.repeat(F.lit("x"), 1_000_000).alias("text")).coalesce(1)
+    sizes = [r["bytes"] for r in workers.map_batches(docs, run, "bytes long").collect()]
+    assert sum(sizes) >= 40_000_000 and max(sizes) <= 10_000_000
+
+
+def test_masked_texts_travel_once(spark, monkeypatch):
+    sent, map_batches = [], pii.map_batches
+    monkeypatch.setattr(pii, "map_batches", lambda rows, *rest: sent.append(rows.schema) or map_batches(rows, *rest))
+    rows = [(1, "mail a@b.example.com now", "x"), (2, None, "y"), (3, "", None), (None, "nothing", "z"), (1, "mail a@b.example.com now", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(map(tuple, pii.mask(docs).collect()), key=str)
+    assert got == sorted([(i, t and t.replace("a@b.example.com", "<email>"), s) for i, t, s in rows], key=str)
+    assert len(sent[0]["_row"].dataType.fields) == 2
+    assert [tuple(r) for r in pii.mask(docs.select("text").limit(1)).collect()] == [("mail <email> now",)]
