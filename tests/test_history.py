@@ -195,3 +195,36 @@ def test_interval_builder_shuffles_the_events_once(spark):
         assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("hot", [[], ["whale"]])
+def test_scans_of_known_hot_keys_equal_sliced_ones(spark, hot):
+    rng = random.Random(5)
+    start = dt.datetime(2020, 1, 1)
+
+    def data(n):
+        return [
+            (rng.choice(["whale", "whale", "a", "b", None]), rng.choice([None, "x", "y", "z"]), start + dt.timedelta(minutes=rng.randrange(600)), i)
+            for i in range(n)
+        ]
+
+    events = spark.createDataFrame(data(300), "u string, s string, at timestamp_ntz, utc long").withColumn("utc", F.timestamp_seconds("utc"))
+    facts = spark.createDataFrame([(*r[:1], r[2], r[3]) for r in data(200)] + [("a", None, 900)], "u string, at timestamp_ntz, n long")
+    build = lambda h: intervals.change_intervals(events, "u", "s", "at", "utc", h)
+    same = lambda a, b: sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert same(build(hot), build(None))
+    spans = build(None).where("u is not null")
+    order = ["start_at", "start_utc", "group_number"]
+    nexts = lambda h: scans.next_value(spans, ["u"], order, "start_at", "n", hot=h)
+    assert same(nexts(hot), nexts(None))
+    starts = events.groupBy("u", F.col("at").alias("from")).agg(F.max("utc").alias("last"))
+    found = lambda h: scans.latest_at(facts, starts, ["u"], "at", "from", ["last"], hot=h)
+    assert same(found(hot), found(None))
+
+
+def test_without_hot_keys_a_history_is_not_cut(spark):
+    events = spark.createDataFrame([("a", "x", dt.datetime(2020, 1, 1, h), h) for h in range(5)] * 2, "u string, s string, at timestamp_ntz, utc long")
+    assert scans.hot_values(events, "u", 9) == ["a"] and scans.hot_values(events, "u") == []
+    plan = intervals.change_intervals(events, "u", "s", "at", "utc", [])._jdf.queryExecution().executedPlan().toString()
+    # copies are folded, then everything is computed where a user's rows are
+    assert plan.count("Exchange hashpartitioning") == 2

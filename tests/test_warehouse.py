@@ -252,3 +252,31 @@ def test_large_dimensions_are_joined_before_small_ones_widen_the_rows(spark, bui
     )
     assert order == [(["scd_customer_key"], False), (["product_key"], False)]
     assert sorted(map(repr, flat.collect())) == sorted(map(repr, built["mart_sales_report"].collect()))
+
+
+def test_kept_lines_are_looked_up_where_they_are(spark, src):
+    """The lines meet what was found for their heads without a shuffle of their own."""
+    lines = facts.kept_lines(staging.stg_sales_order_detail(src.events))
+    assert sorted(map(repr, lines.drop("_head").collect())) == sorted(
+        map(repr, facts.folded_lines(staging.stg_sales_order_detail(src.events)).select(*facts.LINE_COLUMNS, "product_qty").collect())
+    )
+    heads = spark.createDataFrame([], lines.select("_head").schema).withColumn("n", F.lit(1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert moved(lines.select("_head").distinct()) == 0
+        assert moved(lines.join(heads.repartition(3), "_head", "left")) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_later_run_stages_the_open_week_only_and_keeps_all_products(src):
+    moved_on = F.when(F.col("order_id") == "104", "2020-01-19 00:00:00").otherwise(F.col("local_time"))
+    src = dataclasses.replace(src, events=src.events.withColumn("local_time", moved_on))
+    first = pipeline.build_mart(src)
+    known = {**first, "dim_product": first["dim_product"].where("product_id <> 'p3'")}
+    again = pipeline.build_core(src, known)
+    assert [str(r[0]) for r in again["order_lines"].select("local_order_date").distinct().collect()] == ["2020-01-19"]
+    sold = {r[0] for r in again["dim_product"].select("product_id").collect()}
+    assert sold == {"-1", "p1", "p2", "p3", "p9"}, "products of closed days count too"
+    keys = lambda t: sorted(r[0] for r in t["fact_sales_order_detail"].select("sales_key").collect())
+    assert keys(again) == keys(first)
