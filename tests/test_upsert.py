@@ -80,3 +80,19 @@ def test_no_update_without_difference(spark):
     old = table(spark, [(i, "x", "y") for i in range(20)])
     assert upsert.changed_or_new(old.select("k", "a", "b"), old, ["k"], ["a", "b"]).count() == 0
     assert old.where(F.col("updated_by") != "old").count() == 0
+
+
+def test_a_small_window_does_not_move_the_rows_that_replace_it(spark, rows):
+    old = table(spark, [(1, "g", "x"), (2, "g", "y"), (3, "h", "z"), (4, None, "z")])
+    new = fresh(spark, [(1, "g", "X"), (5, "i", "new"), (6, None, "null")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = upsert.replace_groups(new, old, "a", ["k"])
+        joins = got._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.k, r.a, r.b, r.created_by == "old") for r in got.where("a is not null").collect()) == [
+            (1, "g", "X", True), (3, "h", "z", True), (5, "i", "new", False)
+        ]
+        assert {r.k for r in got.where("a is null").collect()} == {4, 6}, "rows without a group replace none"
+        assert "SortMergeJoin [k" not in joins and "BroadcastHashJoin [k" in joins
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
