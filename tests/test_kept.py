@@ -3,6 +3,7 @@
 import dataclasses
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from facetmill.operators import upsert
 from facetmill.plans import facts, lists, pipeline, staging
 from facetmill.plans import warehouse as kept
 from facetmill.plans.checks import ViolatedError
-from facetmill.session import RUN_FOLDER, materialize, run_folder
+from facetmill.session import RUN_FOLDER, SHUFFLE_CLEANUP, materialize, run_folder
 from facetmill.sources import files
 from facetmill.sources.folders import FolderTable
 
@@ -287,3 +288,44 @@ def test_rows_that_violate_a_check_are_not_published(spark, ref, tmp_path):
     assert house.tables["dim_currency"].versions() == before and house.read("dim_currency").count() == 3
     house.update_money(ref)
     assert len(house.tables["dim_currency"].versions()) == len(before) + 1
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        found = blocks.getAllBlocks().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().toString())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = held()
+    out = materialize(spark.range(1000).withColumn("k", F.col("id") % 7).repartition(5, "k"), "dealt")
+    deadline = time.time() + 20
+    while held() - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "true" and not held() - before
+    counts = out.groupBy("k").count()
+    assert sorted(counts.collect()) == sorted(counts.collect()), "a second read of one plan shuffles again"
+    spark.conf.set(SHUFFLE_CLEANUP, "false")
+    try:
+        materialize(spark.range(3), "other")
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "false", "what the session says stays"
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP)
+
+
+def test_a_run_deals_checkouts_once(spark, ref, tmp_path, monkeypatch):
+    """Products are taken from carts as they are; only the sales compare copies of checkouts, and write their lines in buckets."""
+    house = kept.Warehouse(spark, str(tmp_path / "house"), user_buckets=4)
+    house.land(log(spark, *FIRST))
+    staged, heads = [], []
+    whole = staging.stg_sales_order_detail
+    monkeypatch.setattr(staging, "stg_sales_order_detail", lambda events, *a: staged.append(1) or whole(events, *a))
+    rows_of = facts.sales_rows
+    monkeypatch.setattr(facts, "sales_rows", lambda lines, *a: heads.append("_head" in lines.columns) or rows_of(lines, *a))
+    house.update(ref)
+    assert len(staged) == 1 and heads == [True]
+    names = [f.name for f in (tmp_path / "house").rglob("*.parquet")]
+    assert names and all(".zstd." in n for n in names)
