@@ -11,6 +11,7 @@ from facetmill.functions.urls import StoreUrlRules
 from facetmill.operators import normalize, quality
 from facetmill.operators.intervals import version_at
 from facetmill.plans import checks, dims, facts, lists, mart, pipeline, staging
+from facetmill.session import RUN_FOLDER, materialize
 
 
 def event(**fields):
@@ -280,3 +281,38 @@ def test_a_later_run_stages_the_open_week_only_and_keeps_all_products(src):
     assert sold == {"-1", "p1", "p2", "p3", "p9"}, "products of closed days count too"
     keys = lambda t: sorted(r[0] for r in t["fact_sales_order_detail"].select("sales_key").collect())
     assert keys(again) == keys(first)
+
+
+def test_what_a_run_reads_twice_is_written_first(spark, built, src, tmp_path, monkeypatch):
+    """Ranging and merging read their rows twice: the resolved sales and the rows to merge are written once before."""
+    written = []
+    monkeypatch.setattr(pipeline, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    tables = {name: built[name] for name in (*pipeline.DATE_FOLDERS, *pipeline.SORTED_BY)}
+    pipeline.write_core(tables, str(tmp_path / "core"))
+    assert written == ["fact_sales_order_detail"]
+    core = pipeline.read_core(spark, str(tmp_path / "core"))
+    for name, df in tables.items():
+        assert sorted(map(repr, core[name].select(df.columns).collect())) == sorted(map(repr, df.collect()))
+    merged = {
+        "changed_stores": dims.dim_store(staging.stg_store_url_info(src.visits, src.url_rules), src.countries, src.url_rules.local_host, core["dim_store"]),
+        "changed_products": dims.dim_product(staging.stg_product(src.products), staging.sold_products(src.events), core["dim_product"]),
+        "changed_customers": dims.dim_customer_current(built["stg_user_email"], core["dim_customer_current"]),
+        "changed_rates": facts.fact_snapshot_exchange_rate(core["dim_date"], core["dim_currency"], src.rates, core["fact_snapshot_exchange_rate"]),
+    }
+    for label, df in merged.items():
+        assert any(f"/{label}-" in f for f in df.inputFiles()), label
+
+
+def test_the_first_load_leaves_only_what_is_kept(spark, src, monkeypatch):
+    from facetmill.catalog import warehouse as queries
+
+    seen, flat = {}, {"mart_sales_report": spark.range(1)}
+    in_run = lambda: spark.conf.get(RUN_FOLDER, None)
+    monkeypatch.setattr(queries.td, "sources", lambda *a: src)
+    monkeypatch.setattr(queries.pipeline, "build_core", lambda s: seen.update(visits=s.visits.inputFiles()))
+    monkeypatch.setattr(queries.pipeline, "write_core", lambda tables, folder: seen.update(first=in_run(), kept=folder))
+    monkeypatch.setattr(queries.pipeline, "read_core", lambda *a: {})
+    monkeypatch.setattr(queries.pipeline, "build_mart", lambda s, known: seen.update(second=in_run()) or flat)
+    assert queries.mart_incremental(spark, "-").count() == 1
+    assert seen["first"] and not seen["kept"].startswith(seen["first"]) and seen["second"] is None
+    assert seen["visits"] and all("/visits-" in f for f in seen["visits"])
